@@ -1,17 +1,10 @@
-"""The name-matching cascade: exact name, last name and initial, near name, no match.
+"""The levels of name matching: exact name, last name and initial, near name, no match.
 
-Single levels are plain left joins. The cascade as a whole is decided on distinct names,
-because a level's outcome depends on the name alone: a name shared by a third of all rows
-is one row while it is being decided. Rows that only multiply a residual on its way down
-are carried as a count (``copies``) and come into being at the level that emits them.
-
-Row flow, kept as the feed's consumers know it:
-
-* a match whose value is NULL is no match, so its row goes on to the next level, beside
-  any valued match of the same name;
-* levels one and two emit every valued match, level three one row per player;
-* a row whose nearest name is more than three edits away, or that has none, is dropped,
-  and so is a player of whom any remaining row has no name to compare with.
+``exact_match`` and ``lastname_initial_match`` are single levels as plain left joins. The
+rest serves the cascade, which is decided on distinct names, because what a level does to
+a row depends on its name alone: a name shared by a third of all rows is one row while it
+is being decided. Rows that only multiply a residual on its way down are carried as a
+count (``copies``) and come into being at the level that emits them.
 """
 
 from __future__ import annotations
@@ -20,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talentlake.functions import text
-from talentlake.operators.nearest import BLOCK_LIMIT, MAX_DISTANCE, nearest_names
+from talentlake.operators.nearest import MAX_DISTANCE
 
 EXACT, INITIAL, FUZZY, NO_MATCH = "exact", "lastname_initial", "fuzzy", "no_match"
 
@@ -148,22 +141,6 @@ def initial_rows(roster: DataFrame, values: DataFrame, decisions: DataFrame) ->
     )
 
 
-def near_rows(
-    roster: DataFrame, values: DataFrame, decisions: DataFrame, block_limit: int = BLOCK_LIMIT
-) -> DataFrame:
-    """Level three's winners: ``fuzzy``, or ``no_match`` where the nearest has no value."""
-    open_names = decisions.where("open_2").select("name_normalized")
-    winners = best_candidates(roster, nearest_names(open_names, values, block_limit))
-    found = F.col("market_value_eur").isNotNull()
-    return winners.withColumns(
-        {
-            "match_type": F.when(found, FUZZY).otherwise(NO_MATCH),
-            "market_value_eur": F.coalesce("market_value_eur", F.lit(0.0)),
-            "market_value_raw": F.when(found, F.col("market_value_raw")).otherwise(NO_VALUE_RAW),
-        }
-    )
-
-
 def best_candidates(roster: DataFrame, nearest: DataFrame) -> DataFrame:
     """One row per player: its roster row whose nearest name is the closest.
 
@@ -189,62 +166,22 @@ def best_candidates(roster: DataFrame, nearest: DataFrame) -> DataFrame:
     )
 
 
+def near_rows(roster: DataFrame, nearest: DataFrame) -> DataFrame:
+    """Level three's winners: ``fuzzy``, or ``no_match`` where the nearest has no value."""
+    found = F.col("market_value_eur").isNotNull()
+    return best_candidates(roster, nearest).select(
+        *roster.columns,
+        "v_name",
+        "distance",
+        F.coalesce("market_value_eur", F.lit(0.0)).alias("market_value_eur"),
+        F.when(found, F.col("market_value_raw")).otherwise(NO_VALUE_RAW).alias("market_value_raw"),
+        F.when(found, FUZZY).otherwise(NO_MATCH).alias("match_type"),
+    )
+
+
 def cascade_union(*levels: DataFrame) -> DataFrame:
     """UNION ALL by name; a column that a level lacks is NULL there."""
     union = levels[0]
     for level in levels[1:]:
         union = union.unionByName(level, allowMissingColumns=True)
     return union
-
-
-def match_cascade(
-    roster: DataFrame, values: DataFrame, block_limit: int = BLOCK_LIMIT
-) -> DataFrame:
-    """All four levels; rows without a near name are dropped (see the module text)."""
-    decisions = name_decisions(roster, values)
-    return cascade_union(
-        exact_rows(roster, values),
-        initial_rows(roster, values, decisions),
-        near_rows(roster, values, decisions, block_limit).drop("distance", "v_name"),
-    )
-
-
-def match_cascade_keep_unmatched(
-    roster: DataFrame, values: DataFrame, block_limit: int = BLOCK_LIMIT
-) -> DataFrame:
-    """Levels one to three, and one ``no_match`` row for every other player.
-
-    That row is the player's listing by the smallest team name. Who is matched is read from
-    the decisions, so the matches themselves need not be computed twice.
-    """
-    decisions = name_decisions(roster, values)
-    near = near_rows(roster, values, decisions, block_limit).where(
-        F.col("match_type") == FUZZY
-    )
-    settled = F.col("hits_1") + F.when(F.col("copies_1") > 0, F.col("hits_2")).otherwise(0) > 0
-    settled_ids = (
-        roster.join(decisions.where(settled).select("name_normalized"), "name_normalized")
-        .select("player_id")
-        .unionByName(near.select("player_id"))
-        .distinct()
-    )
-    rest = [c for c in roster.columns if c not in ("player_id", "team_name")]
-    unmatched = (
-        roster.groupBy("player_id")
-        .agg(F.min(F.struct("team_name", *rest)).alias("listing"))
-        .join(settled_ids, "player_id", "left_anti")
-        .select("player_id", "listing.*")
-        .withColumns(
-            {
-                "market_value_eur": F.lit(0.0),
-                "market_value_raw": F.lit(NO_VALUE_RAW),
-                "match_type": F.lit(NO_MATCH),
-            }
-        )
-    )
-    return cascade_union(
-        exact_rows(roster, values),
-        initial_rows(roster, values, decisions),
-        near.drop("distance", "v_name"),
-        unmatched,
-    )

@@ -12,6 +12,7 @@ targets x names comparisons, so there names meet through signatures instead:
 * long ones through *segments* (Pass-Join, Li et al., VLDB 2011): a target cut in k + 1
   segments leaves at least one of them intact, near its old position, under k edits.
 
+The distinct targets are stored first, since block sizes decide which routes a run needs.
 Every route is exact; together they give the same winner as comparing all pairs.
 """
 
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talentlake.functions import text
+from talentlake.workspace import stored
 
 MAX_DISTANCE = 3
 # Distinct targets of a last name up to which its block is compared directly.
@@ -73,8 +75,9 @@ def nearest_names(
     first target by distance, name, value (highest first, NULL last) and raw text.
     """
     name = F.col("name_normalized")
-    targets = distinct_targets(values)
+    targets = stored(distinct_targets(values), "targets")
     blocks = targets.groupBy("last_name").agg(F.count("*").alias("block_size"))
+    crowded = blocks.where(F.col("block_size") > block_limit)
     # The null test is what inner joins infer; stated here, all routes share one exchange.
     probes = (
         names.select(
@@ -84,16 +87,17 @@ def nearest_names(
         .join(blocks, "last_name", "left")
     )
 
-    crowded = blocks.where(F.col("block_size") > block_limit).select("last_name")
-    crowded_probes = probes.where(F.col("block_size") > block_limit)
-    crowded_targets = targets.join(crowded, "last_name")
-
-    found = [
-        _start(probes),
-        _by_block(probes.where(F.col("block_size") <= block_limit), targets),
-        _by_patterns(crowded_probes, crowded_targets, pattern_length),
-        _by_segments(crowded_probes, crowded_targets, pattern_length),
-    ]
+    found = [_start(probes)]
+    if crowded.isEmpty():
+        found.append(_by_block(probes, targets))
+    else:
+        crowded_probes = probes.where(F.col("block_size") > block_limit)
+        crowded_targets = targets.join(crowded.select("last_name"), "last_name")
+        found += [
+            _by_block(probes.where(F.col("block_size") <= block_limit), targets),
+            _by_patterns(crowded_probes, crowded_targets, pattern_length),
+            _by_segments(crowded_probes, crowded_targets, pattern_length),
+        ]
     best = F.min(F.struct("distance", "v_name", "value"))
     return (
         reduce(DataFrame.unionByName, found)

@@ -4,11 +4,17 @@ level of the cascade and every money form occurs; all documents take part."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentlake.functions.money import market_value_eur
+from talentlake.functions.days import day_key
+from talentlake.operators import formatting
 from talentlake.operators.matching import with_name_keys
+from talentlake.sources.snapshots import DAY
+from talentlake.workspace import fresh_path
 
 RUN_DAY = "20240101"
 SOURCE_URL = "https://values.example/listing"
@@ -89,16 +95,163 @@ def values_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def values_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return formatting.market_values(values_raw(spark, sf_dir), RUN_DAY)
+
+
+# Landed tables of this application, by application, input and name.
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def landed(
+    spark: SparkSession, sf_dir: str, derive: Callable[[SparkSession, str], DataFrame]
+) -> DataFrame:
+    """``derive``'s table as the lake's formatted zone holds it: written once, then read."""
+    key = (spark.sparkContext.applicationId, sf_dir, derive.__name__)
+    if key in _landed:
+        try:
+            return spark.read.parquet(_landed[key])
+        except AnalysisException:  # the folder was cleared meanwhile
+            pass
+    _landed[key] = fresh_path(spark, derive.__name__)
+    derive(spark, sf_dir).write.parquet(_landed[key])
+    return spark.read.parquet(_landed[key])
+
+
 def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roster side of the cascade, with its name keys."""
-    return with_name_keys(roster_raw(spark, sf_dir), "player_name_api")
+    return with_name_keys(landed(spark, sf_dir, roster_raw), "player_name_api")
 
 
 def values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values side of the cascade, amounts parsed and name keys added."""
-    parsed = values_raw(spark, sf_dir).select(
-        "player_name",
-        "market_value_raw",
-        market_value_eur(F.col("market_value_raw")).alias("market_value_eur"),
+    """Values side of the cascade, with its name keys."""
+    return with_name_keys(landed(spark, sf_dir, values_formatted), "player_name")
+
+
+# Players per landed feed file; bounds what one document gathers, whatever the data size.
+PLAYERS_PER_FILE = 2000
+
+
+def _shard() -> Column:
+    return F.floor(F.col("player_id") / PLAYERS_PER_FILE).cast("int").alias("shard")
+
+
+def player_stats_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player-stats envelopes; every player has no, one or two statistics elements."""
+    player_id, name = F.col("player_id"), F.col("player_name_api")
+    first = F.substring_index(name, " ", 1)
+    player = F.struct(
+        player_id.alias("id"),
+        name.alias("name"),
+        first.alias("firstname"),
+        F.when(player_id % 6 != 0, F.substring_index(name, " ", -1)).alias("lastname"),
+    )
+
+    def statistic(team: Column) -> Column:
+        return F.struct(
+            F.struct(team.alias("name")).alias("team"),
+            F.struct(F.col("league_name").alias("name")).alias("league"),
+        )
+
+    one = F.array(statistic(F.col("team_name")))
+    statistics = (
+        F.when(player_id % 11 == 0, F.slice(one, 1, 0))
+        .when(player_id % 3 == 1, F.concat(one, F.array(statistic(F.lit("former")))))
+        .otherwise(one)
     )
-    return with_name_keys(parsed, "player_name")
+    entry = F.struct(player.alias("player"), statistics.alias("statistics"))
+    error = F.struct(
+        F.col("shard").cast("bigint").alias("team_id"),
+        F.lit("loan").alias("team_name"),
+        F.lit(2).alias("page"),
+        F.lit("timeout").alias("error"),
+    )
+    return (
+        roster_raw(spark, sf_dir)
+        .groupBy(_shard())
+        .agg(F.collect_list(entry).alias("response"))
+        .select(
+            "shard",
+            F.lit("players_by_teams").alias("get"),
+            F.struct(F.lit(61).alias("league"), F.lit(2024).alias("season")).alias("parameters"),
+            F.size("response").alias("results"),
+            F.array(error).alias("errors"),
+            "response",
+        )
+    )
+
+
+def roster_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roster envelopes: players in team blocks, some without a name."""
+    player_id = F.col("player_id")
+    name = F.when(player_id % 13 != 0, F.col("player_name_api"))
+    player = F.struct(player_id.alias("id"), name.alias("name"))
+    team = F.struct(F.length("team_name").cast("bigint").alias("id"), F.col("team_name").alias("name"))
+    block = F.struct(team.alias("team"), F.col("players"))
+    return (
+        roster_raw(spark, sf_dir)
+        .groupBy(_shard(), "team_name")
+        .agg(F.collect_list(player).alias("players"))
+        .groupBy("shard")
+        .agg(F.collect_list(block).alias("response"))
+        .select(
+            "shard",
+            F.lit("players/squads").alias("get"),
+            F.lit(61).alias("league"),
+            F.lit(2024).alias("season"),
+            F.lit(RUN_DAY).alias("date"),
+            F.size("response").alias("results"),
+            "response",
+        )
+    )
+
+
+def land_envelopes(envelopes: DataFrame, name: str) -> str:
+    """Write one JSON object per file; returns the glob of the day's files."""
+    path = f"{fresh_path(envelopes.sparkSession, name)}/{RUN_DAY}"
+    envelopes.write.partitionBy("shard").json(path)
+    return f"{path}/*/*.json"
+
+
+def land_values(spark: SparkSession, sf_dir: str) -> str:
+    """Write the raw market values as one JSON array per file; returns the files' glob."""
+    path = f"{fresh_path(spark, 'market_values')}/{RUN_DAY}"
+    row = F.struct("player_name", "market_value_raw", "scraped_url")
+    shard = F.floor(F.col("doc_id") / PLAYERS_PER_FILE).alias("shard")
+    (
+        values_raw(spark, sf_dir)
+        .groupBy(shard)
+        .agg(F.to_json(F.collect_list(row)).alias("value"))
+        .write.partitionBy("shard")
+        .text(path)
+    )
+    return f"{path}/*/*.txt"
+
+
+def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages of at most 50 orders by priority; some pages failed on the way."""
+    page = F.floor(F.col("o_orderkey") / 50)
+    open_order = F.col("o_orderstatus") == "P"
+    entry = F.struct(
+        F.struct(
+            F.when(~open_order, F.col("o_orderkey")).alias("id"),
+            F.col("o_orderstatus").alias("name"),
+        ).alias("team"),
+    )
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_orderpriority").alias("team_name"), page.alias("page"))
+        .agg(F.collect_list(entry).alias("response"))
+        .select(
+            F.substring("team_name", 1, 1).cast("bigint").alias("team_id"),
+            "team_name",
+            "page",
+            F.when(F.col("page") % 7 == 0, "timeout").alias("error"),
+            F.when(F.col("page") % 7 != 0, F.col("response")).alias("response"),
+        )
+    )
+
+
+def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the snapshot day they belong to."""
+    return table(spark, sf_dir, "events").withColumn(DAY, day_key(F.col("ts")))
