@@ -86,13 +86,10 @@ def multi_date_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every shipping day, the last day with orders up to it."""
     ordered = table(spark, sf_dir, "orders").select(
-        days.day_key(F.date_trunc("day", "o_orderdate")).alias(snapshots.DAY)
+        days.day_key(F.col("o_orderdate")).alias(snapshots.DAY)
     )
     asked = table(spark, sf_dir, "lineitem").select(days.day_key(F.col("l_shipdate")).alias("as_of"))
-    present = snapshots.snapshot_days(ordered).scalar()
-    return asked.distinct().withColumn(
-        "chosen_day", snapshots.chosen_day(F.col("as_of"), present)
-    )
+    return snapshots.choose_days(asked.distinct(), ordered)
 
 
 def page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,25 +33,32 @@ def between(snapshots: DataFrame, first: str, last: str, day: str = DAY) -> Data
     return snapshots.where(F.col(day).between(first, last))
 
 
-def snapshot_days(snapshots: DataFrame, day: str = DAY) -> DataFrame:
-    """The days present, as one sorted array; no longer than the calendar."""
-    return snapshots.agg(F.array_sort(F.collect_set(day)).alias("days"))
+def choose_days(asked: DataFrame, snapshots: DataFrame, day: str = DAY) -> DataFrame:
+    """Add ``chosen_day`` to days ``as_of``: the day itself if present, else the last before.
 
-
-def chosen_day(as_of: Column, days: Column, allow_later: bool = False) -> Column:
-    """The snapshot for ``as_of``: its own day if present, else the last one before.
-
-    ``allow_later`` takes the last one of all instead, also if it is later.
+    The days present travel as one array, no longer than the calendar whatever the data.
     """
-    before = F.array_max(F.filter(days, lambda d: d <= as_of))
-    if not allow_later:
-        return before
-    return F.when(F.array_contains(days, as_of), as_of).otherwise(F.array_max(days))
+    present = snapshots.agg(F.collect_set(day)).scalar()
+    up_to = F.filter("present", lambda d: d <= F.col("as_of"))
+    return (
+        asked.withColumn("present", present)
+        .withColumn("chosen_day", F.array_max(up_to))
+        .drop("present")
+    )
 
 
 def read_as_of(
     snapshots: DataFrame, as_of: str, day: str = DAY, allow_later: bool = False
 ) -> DataFrame:
-    """Rows of the snapshot chosen for ``as_of``; none when there is none to choose."""
-    days = snapshot_days(snapshots, day).scalar()
-    return snapshots.where(F.col(day) == chosen_day(F.lit(as_of), days, allow_later))
+    """Rows of the snapshot of ``as_of`` if it has any, else of the last one before.
+
+    ``allow_later`` falls back on the last one of all, even if it is later. The day is a
+    scalar subquery over the partition column, so only the chosen partition is read.
+    """
+    present = F.col(day)
+    if allow_later:
+        own = F.max(F.when(present == as_of, present))
+        chosen = snapshots.agg(F.coalesce(own, F.max(present)))
+    else:
+        chosen = snapshots.where(present <= as_of).agg(F.max(present))
+    return snapshots.where(present == chosen.scalar())

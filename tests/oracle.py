@@ -27,13 +27,27 @@ def _rows(columns, rows):
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+# DuckDB's names of the Spark types that results use.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def differences(df, con, sql) -> str:
     """Empty when both sides have the same columns, types of value and rows."""
     cursor = con.execute(sql)
     columns = [c[0] for c in cursor.description]
+    types = {c[0]: str(c[1]) for c in cursor.description}
     expected = _rows(columns, cursor.fetchall())
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    other = {c: (t, types[c]) for c, t in df.dtypes if TYPES[t] != types[c]}
+    if other:
+        return f"types {other}"
     actual = _rows(df.columns, [tuple(r) for r in df.collect()])
     if actual == expected:
         return "" if expected else "no rows"
