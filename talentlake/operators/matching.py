@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talentlake.functions import text
-from talentlake.operators.nearest import MAX_DISTANCE
+from talentlake.operators.nearest import MAX_DISTANCE, value_rank
 
 EXACT, INITIAL, FUZZY, NO_MATCH = "exact", "lastname_initial", "fuzzy", "no_match"
 
@@ -59,58 +59,87 @@ def residual(level: DataFrame) -> DataFrame:
     )
 
 
-def _value_profile(values: DataFrame, keys: list[str], level: int) -> DataFrame:
-    """Per key: valued, NULL-valued and positive rows, and the highest value."""
+def listed_names(values: DataFrame) -> DataFrame:
+    """One row per normalized name of the values side: valued, NULL-valued and positive
+    rows, the highest value, and the row that stands for the name when it is the nearest."""
     value = F.col("market_value_eur")
-    return values.groupBy(*keys).agg(
-        F.count(value).alias(f"hits_{level}"),
-        F.count_if(value.isNull()).alias(f"blanks_{level}"),
-        F.count_if(value > 0).alias(f"positives_{level}"),
-        F.max(value).alias(f"top_{level}"),
+    name = F.col("v_name")
+    return (
+        values.where("name_normalized is not null")
+        .groupBy(F.col("name_normalized").alias("v_name"))
+        .agg(
+            F.count(value).alias("hits"),
+            F.count_if(value.isNull()).alias("blanks"),
+            F.count_if(value > 0).alias("positives"),
+            F.max(value).alias("top"),
+            F.min(value_rank(value, F.col("market_value_raw"))).alias("value"),
+        )
+        .withColumns(
+            {"last_name": text.last_name(name), "first_initial": text.first_initial(name)}
+        )
+    )
+
+
+def listed_initials(listed: DataFrame) -> DataFrame:
+    """The counts of ``listed_names`` by last name and first initial."""
+    return listed.groupBy("last_name", "first_initial").agg(
+        *[F.sum(c).alias(c) for c in ("hits", "blanks", "positives")], F.max("top").alias("top")
     )
 
 
-def name_decisions(roster: DataFrame, values: DataFrame) -> DataFrame:
+def name_decisions(roster: DataFrame, listed: DataFrame) -> DataFrame:
     """One row per distinct roster name with what levels one and two do to its rows.
 
     ``listings`` counts the roster rows; each meets ``hits_1`` valued rows at level one and
-    leaves it as ``copies_1`` residual rows, each of which meets ``hits_2`` at level two.
-    ``open_2`` tells whether any residual row remains after that.
+    leaves it as ``copies_1`` residual rows, each of which meets ``hits_2`` at level two and
+    leaves that as ``copies_2``.
     """
-    none = F.lit(0).cast("bigint")
+    name = F.col("name_normalized")
     names = (
         roster.where("name_normalized is not null")
         .groupBy("name_normalized")
         .agg(F.count("*").alias("listings"))
     )
-    by_name = _value_profile(values, ["name_normalized"], 1)
-    by_initial = _value_profile(values, ["last_name", "first_initial"], 2)
-    normalized = F.col("name_normalized")
-
-    def counted(*columns: str) -> dict[str, Column]:
-        return {c: F.coalesce(c, none) for c in columns}
-
+    by_name = _outcome(listed, 1).select(F.col("v_name").alias("name_normalized"), *_columns(1))
+    # The key joined on differs from the keys grouped by, so that this side is shuffled for
+    # the join alone; only then can adaptive execution split a key that is hot among names.
+    by_initial = _outcome(listed_initials(listed), 2).select(
+        F.concat_ws(" ", "first_initial", "last_name").alias("initial_key"), *_columns(2)
+    )
+    # A name that meets nothing keeps its one row.
+    unmet = {"hits": 0, "copies": 1, "positives": 0}
     return (
         names.join(by_name, "name_normalized", "left")
-        .withColumns(counted("hits_1", "blanks_1", "positives_1"))
         .withColumns(
-            {
-                "copies_1": _passed_on("hits_1", "blanks_1"),
-                "last_name": text.last_name(normalized),
-                "first_initial": text.first_initial(normalized),
-            }
+            {"last_name": text.last_name(name), "first_initial": text.first_initial(name)}
+        )
+        .withColumn("initial_key", F.concat_ws(" ", "first_initial", "last_name"))
+        .join(by_initial, "initial_key", "left")
+        .select(
+            "name_normalized",
+            "last_name",
+            "first_initial",
+            "listings",
+            *[
+                F.coalesce(f"{column}_{level}", F.lit(rows).cast("bigint")).alias(f"{column}_{level}")
+                for level in (1, 2)
+                for column, rows in unmet.items()
+            ],
+            "top_1",
+            "top_2",
         )
-        .join(by_initial, ["last_name", "first_initial"], "left")
-        .withColumns(counted("hits_2", "blanks_2", "positives_2"))
-        .withColumn("copies_2", _passed_on("hits_2", "blanks_2"))
-        .withColumn("open_2", (F.col("copies_1") > 0) & (F.col("copies_2") > 0))
     )
 
 
-def _passed_on(hits: str, blanks: str) -> Column:
-    """Residual rows that a left join leaves per row: one per NULL value, or the row itself."""
-    return F.when(F.col(hits) + F.col(blanks) == 0, F.lit(1).cast("bigint")).otherwise(
-        F.col(blanks)
+def _columns(level: int) -> list[str]:
+    return [f"{c}_{level}" for c in ("hits", "copies", "positives", "top")]
+
+
+def _outcome(counts: DataFrame, level: int) -> DataFrame:
+    """A left join leaves one residual row per NULL value it meets: ``blanks`` are copies."""
+    counts = counts.withColumnRenamed("blanks", "copies")
+    return counts.withColumnsRenamed(
+        {c: f"{c}_{level}" for c in ("hits", "copies", "positives", "top")}
     )
 
 

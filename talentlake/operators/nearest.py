@@ -12,8 +12,7 @@ targets x names comparisons, so there names meet through signatures instead:
 * long ones through *segments* (Pass-Join, Li et al., VLDB 2011): a target cut in k + 1
   segments leaves at least one of them intact, near its old position, under k edits.
 
-The distinct targets are stored first, since block sizes decide which routes a run needs.
-Every route is exact; together they give the same winner as comparing all pairs.
+The sizes of the blocks are stored first, since they decide which routes a run needs. Every route is exact; together they give the same winner as comparing all pairs.
 """
 
 from __future__ import annotations
@@ -29,6 +28,8 @@ from talentlake.workspace import stored
 MAX_DISTANCE = 3
 # Distinct targets of a last name up to which its block is compared directly.
 BLOCK_LIMIT = 1024
+# Names of one last name that one task compares with up to BLOCK_LIMIT targets.
+SLICE_NAMES = 100_000
 # Given parts up to this length use edit patterns (about 1,200 for a text of ten).
 PATTERN_LENGTH = 10
 # Stands for a blanked character; a code point that Unicode never assigns.
@@ -45,58 +46,37 @@ def value_rank(value: Column, raw: Column) -> Column:
     )
 
 
-def distinct_targets(values: DataFrame) -> DataFrame:
-    """One row per normalized name of the values side, holding its best value."""
-    best = F.min(value_rank(F.col("market_value_eur"), F.col("market_value_raw")))
-    name = F.col("v_name")
-    return (
-        values.where("name_normalized is not null")
-        .groupBy(F.col("name_normalized").alias("v_name"))
-        .agg(best.alias("value"))
-        .select(
-            text.last_name(name).alias("last_name"),
-            text.given_part(name).alias("v_given"),
-            "v_name",
-            "value",
-        )
-    )
-
-
 def nearest_names(
     names: DataFrame,
-    values: DataFrame,
+    listed: DataFrame,
     block_limit: int = BLOCK_LIMIT,
+    slice_names: int = SLICE_NAMES,
     pattern_length: int = PATTERN_LENGTH,
 ) -> DataFrame:
     """The best target of every name, as one row per name.
 
-    ``names`` holds distinct ``name_normalized``. ``distance`` is NULL when no target has
-    the last name, ``MAX_DISTANCE + 1`` when none is near enough, and otherwise that of the
-    first target by distance, name, value (highest first, NULL last) and raw text.
+    ``names`` holds distinct ``name_normalized``; ``listed`` one row per target ``v_name``
+    with its ``last_name`` and best ``value``. Both are read more than once, so they should
+    be tables. ``distance`` is NULL when no target has the last name, ``MAX_DISTANCE + 1``
+    when none is near enough, and otherwise that of the first target by distance, name,
+    value (highest first, NULL last) and raw text.
     """
-    name = F.col("name_normalized")
-    targets = stored(distinct_targets(values), "targets")
-    blocks = targets.groupBy("last_name").agg(F.count("*").alias("block_size"))
-    crowded = blocks.where(F.col("block_size") > block_limit)
-    # The null test is what inner joins infer; stated here, all routes share one exchange.
-    probes = (
-        names.select(
-            name, text.last_name(name).alias("last_name"), text.given_part(name).alias("given")
-        )
-        .where("last_name is not null")
-        .join(blocks, "last_name", "left")
+    name, target = F.col("name_normalized"), F.col("v_name")
+    left = names.select(
+        name, text.last_name(name).alias("last_name"), text.given_part(name).alias("given")
     )
-
-    found = [_start(probes)]
-    if crowded.isEmpty():
-        found.append(_by_block(probes, targets))
-    else:
-        crowded_probes = probes.where(F.col("block_size") > block_limit)
+    targets = listed.select("last_name", text.given_part(target).alias("v_given"), target, "value")
+    blocks = stored(_blocks(left, targets, slice_names), "blocks")
+    probes = left.join(blocks, "last_name")
+
+    big = F.col("targets") > block_limit
+    found = [_start(probes), _by_block(probes.where(~big), targets, blocks.where(~big))]
+    crowded = blocks.where(big)
+    if not crowded.isEmpty():
         crowded_targets = targets.join(crowded.select("last_name"), "last_name")
         found += [
-            _by_block(probes.where(F.col("block_size") <= block_limit), targets),
-            _by_patterns(crowded_probes, crowded_targets, pattern_length),
-            _by_segments(crowded_probes, crowded_targets, pattern_length),
+            _by_patterns(probes.where(big), crowded_targets, pattern_length),
+            _by_segments(probes.where(big), crowded_targets, pattern_length),
         ]
     best = F.min(F.struct("distance", "v_name", "value"))
     return (
@@ -113,11 +93,22 @@ def nearest_names(
     )
 
 
+def _blocks(left: DataFrame, targets: DataFrame, slice_names: int) -> DataFrame:
+    """Per last name to look up: its targets, and the slices its names are dealt into."""
+    looked_up = left.groupBy("last_name").agg(F.count("*").alias("names"))
+    offered = targets.groupBy("last_name").agg(F.count("*").alias("targets"))
+    return looked_up.join(offered, "last_name", "left").select(
+        "last_name",
+        F.coalesce("targets", F.lit(0).cast("bigint")).alias("targets"),
+        F.ceil(F.col("names") / slice_names).alias("slices"),
+    )
+
+
 def _start(probes: DataFrame) -> DataFrame:
     """A row for every name, which any real candidate beats."""
     return probes.select(
         "name_normalized",
-        F.when(F.col("block_size").isNotNull(), F.lit(MAX_DISTANCE + 1)).alias("distance"),
+        F.when(F.col("targets") > 0, F.lit(MAX_DISTANCE + 1)).alias("distance"),
         F.lit(None).cast("string").alias("v_name"),
         F.lit(None)
         .cast("struct<no_value: boolean, minus_value: double, no_raw: boolean, raw: string>")
@@ -125,8 +116,19 @@ def _start(probes: DataFrame) -> DataFrame:
     )
 
 
-def _by_block(probes: DataFrame, targets: DataFrame) -> DataFrame:
-    return _measured(probes.join(targets, "last_name").where(_lengths_near()))
+def _by_block(probes: DataFrame, targets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """All pairs of a block, which has few targets; its names may be many, so they are dealt
+    into slices, and each slice gets a copy of those targets."""
+    slice_of = F.pmod(F.xxhash64("name_normalized"), F.col("slices"))
+    copies = blocks.where("targets > 0").select(
+        "last_name", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice")
+    )
+    return _measured(
+        probes.where("targets > 0")
+        .withColumn("slice", slice_of)
+        .join(targets.join(copies, "last_name"), ["last_name", "slice"])
+        .where(_lengths_near())
+    )
 
 
 def _lengths_near() -> Column:

@@ -13,7 +13,7 @@ from talentlake.operators.nearest import nearest_names
 from talentlake.plans import inputs
 from talentlake.plans.inputs import RUN_DAY, table
 from talentlake.sources import feeds, html_rows, search_documents, snapshots
-from talentlake.workspace import fresh_path
+from talentlake.workspace import fresh_path, stored
 
 LINK = ["player_id", "player_name_api", "team_name"]
 MATCH = [*LINK, "market_value_eur", "market_value_raw", "match_type"]
@@ -368,7 +368,8 @@ def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest listed name of every player, exact ones included."""
     roster, values = _sides(spark, sf_dir)
     names = roster.where("name_normalized is not null").select("name_normalized").distinct()
-    best = matching.best_candidates(roster, nearest_names(names, values))
+    nearest = nearest_names(stored(names, "names"), stored(matching.listed_names(values), "listed"))
+    best = matching.best_candidates(roster, nearest)
     return best.select(*LINK, "v_name", "distance", "market_value_eur", "market_value_raw")
 
 

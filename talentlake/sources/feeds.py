@@ -26,11 +26,17 @@ def require_response(envelopes: DataFrame) -> DataFrame:
     return envelopes
 
 
-def feed_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """``read_feed``, or an empty frame of that schema when nothing landed at ``path``."""
+def feed_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """``read_feed``, or None when nothing landed at ``path``."""
     try:
         return read_feed(spark, path, schema)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def feed_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """``read_feed``, or an empty frame of that schema when nothing landed at ``path``."""
+    feed = feed_or_none(spark, path, schema)
+    return spark.createDataFrame([], schema) if feed is None else feed
