@@ -1,0 +1,218 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from talentlake import schemas
+from talentlake.operators import assembly, formatting
+from talentlake.operators.latest import latest
+from talentlake.sources import feeds, html_rows, search_documents, snapshots
+
+
+def land(path, name, payload):
+    path.mkdir(parents=True, exist_ok=True)
+    (path / name).write_text(json.dumps(payload, indent=2, ensure_ascii=False), encoding="utf-8")
+
+
+def test_player_stats_feed(spark, tmp_path):
+    full = {"id": 1, "name": "J. Ba", "firstname": "Jo", "lastname": "Ba"}
+    team = {"team": {"name": "A"}, "league": {"name": "L"}}
+    entries = [
+        {"player": full, "statistics": [team, {"team": {"name": "B"}}]},
+        {"player": {"id": 2, "name": "Li", "firstname": "Li"}, "statistics": []},
+        {"player": {"id": 3, "name": "No"}},
+    ]
+    land(tmp_path, "a.json", {"get": "x", "results": 3, "errors": [], "response": entries})
+    land(tmp_path, "b.json", {"get": "x", "results": 0, "response": []})
+    raw = feeds.read_feed(spark, f"{tmp_path}/*.json", schemas.PLAYER_STATS_ENVELOPE)
+    rows = formatting.player_stats(feeds.require_response(raw), "20240101").orderBy("player_id")
+    assert [tuple(r) for r in rows.collect()] == [
+        (1, "J. Ba", "Jo", "Ba", "Jo Ba", "A", "L", "20240101"),
+        (2, "Li", "Li", None, "Li", None, None, "20240101"),
+        (3, "No", None, None, "", None, None, "20240101"),
+    ]
+
+
+def test_roster_feed_drops_incomplete_rows(spark, tmp_path):
+    players = [{"id": 1, "name": "Jo"}, {"id": 2, "name": None}, {"name": "No id"}]
+    blocks = [
+        {"team": {"id": 7, "name": "A"}, "players": players},
+        {"team": {"id": 8}, "players": [{"id": 3, "name": "No team"}]},
+        {"team": {"id": 9, "name": "C"}, "players": []},
+    ]
+    land(tmp_path, "a.json", {"get": "x", "response": blocks})
+    raw = feeds.read_feed(spark, f"{tmp_path}/*.json", schemas.ROSTER_ENVELOPE)
+    rows = formatting.rosters(raw, "20240101").collect()
+    assert [tuple(r) for r in rows] == [(1, "Jo", "A", "Ligue 1", "20240101")]
+
+
+def test_missing_response_fails(spark, tmp_path):
+    land(tmp_path, "a.json", {"get": "x", "message": "no"})
+    raw = feeds.read_feed(spark, f"{tmp_path}/*.json", schemas.PLAYER_STATS_ENVELOPE)
+    with pytest.raises(feeds.MissingResponseError):
+        feeds.require_response(raw)
+
+
+def test_empty_response_is_no_failure(spark, tmp_path):
+    land(tmp_path, "a.json", {"get": "x", "response": []})
+    raw = feeds.read_feed(spark, f"{tmp_path}/*.json", schemas.PLAYER_STATS_ENVELOPE)
+    assert formatting.player_stats(feeds.require_response(raw), "20240101").collect() == []
+
+
+def test_value_feed_array(spark, tmp_path):
+    land(tmp_path, "a.json", [{"player_name": "Jo", "market_value_raw": "7 M.", "scraped_url": "u"}, {"player_name": "Li"}])
+    raw = feeds.feed_or_empty(spark, f"{tmp_path}/*.json", schemas.MARKET_VALUES)
+    rows = formatting.market_values(raw, "20240101").orderBy("player_name").collect()
+    assert [tuple(r) for r in rows] == [
+        ("Jo", "7 M.", "u", 7000000.0, "20240101"),
+        ("Li", None, None, 0.0, "20240101"),
+    ]
+
+
+def test_absent_value_feed_is_empty_and_typed(spark, tmp_path):
+    raw = feeds.feed_or_empty(spark, f"{tmp_path}/absent/*.json", schemas.MARKET_VALUES)
+    values = formatting.market_values(raw, "20240101")
+    assert values.collect() == []
+    assert dict(values.dtypes)["market_value_eur"] == "double" and len(values.columns) == 5
+
+
+def days_frame(spark, *rows):
+    return spark.createDataFrame(rows, "x int, event_date string")
+
+
+def test_rerun_replaces_its_day_only(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    first = days_frame(spark, (1, "20240101"), (2, "20240102"))
+    snapshots.write_snapshot(first, path)
+    snapshots.write_snapshot(days_frame(spark, (9, "20240102")), path)
+    read = snapshots.read_snapshots(spark, path, first.schema)
+    assert {tuple(r) for r in read.collect()} == {(1, "20240101"), (9, "20240102")}
+    assert dict(read.dtypes)["event_date"] == "string"
+
+
+@pytest.mark.parametrize(
+    "as_of, allow_later, chosen",
+    [
+        ("20240103", False, "20240103"),
+        ("20240104", False, "20240103"),
+        ("20231231", False, None),
+        ("20231231", True, "20240105"),
+        ("20240104", True, "20240105"),
+        ("20240103", True, "20240103"),
+    ],
+)
+def test_as_of(spark, as_of, allow_later, chosen):
+    table = days_frame(spark, (1, "20240101"), (3, "20240103"), (5, "20240105"))
+    rows = snapshots.read_as_of(table, as_of, allow_later=allow_later).collect()
+    assert [r.event_date for r in rows] == ([chosen] if chosen else [])
+
+
+def test_choose_days(spark):
+    table = days_frame(spark, (1, "20240101"), (3, "20240103"))
+    asked = spark.createDataFrame([("20231231",), ("20240102",), ("20240103",)], "as_of string")
+    chosen = {tuple(r) for r in snapshots.choose_days(asked, table).collect()}
+    assert chosen == {("20231231", None), ("20240102", "20240101"), ("20240103", "20240103")}
+
+
+def test_day_filter_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    table = days_frame(spark, (1, "20240101"), (2, "20240102"))
+    snapshots.write_snapshot(table, path)
+    read = snapshots.read_snapshots(spark, path, table.schema)
+    plan = snapshots.between(read, "20240102", "20240109")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "PushedFilters: []" in plan
+
+
+PAGE = """
+<html><body><table class="other"><tbody><tr><td class="hauptlink"><a>No</a></td>
+<td class="rechts">1</td></tr></tbody></table>
+<table class="big items"><thead><tr><td class="hauptlink"><a>Head</a></td><td class="rechts">x</td></tr></thead>
+<tbody>
+<tr><td class="rechts">1</td><td><table><tr><td><img src="i"><td class="hauptlink"> <a href="p"> Jo &amp; <b>Ba</b> </a><a>2nd</a></td></tr>
+<tr><td>Wing</td></tr></table></td><td class="rechts hauptlink"><a> 33,59 mio. € </a></td></tr>
+<tr><td class="hauptlink">no anchor</td><td class="rechts">2</td></tr>
+<tr><td class="hauptlink"><a>No value</a></td></tr>
+</tbody></table>
+<table class="items"><tbody><tr><td class="hauptlink"><a>Late</a></td><td class="rechts">1</td></tr></tbody></table>
+"""
+
+
+def test_table_rows(spark):
+    pages = spark.createDataFrame([("u1", PAGE), ("u2", "<p>none"), ("u3", None)], "url string, html string")
+    assert [tuple(r) for r in html_rows.table_rows(pages).collect()] == [("Jo & Ba", "33,59 mio. €", "u1")]
+
+
+def test_link_items(spark):
+    html = '<ul><li><a href="/a"> A <b>x</b></a></li><li>no anchor</li><LI class="y"><A class="z" href="/b">B\n</A></LI></ul>'
+    pages = spark.createDataFrame([(1, html), (2, ""), (3, None)], "page_id int, html string")
+    found = [tuple(r) for r in html_rows.link_items(pages).collect()]
+    assert found == [(1, 0, "A x", "/a"), (1, 2, "B\n", "/b")]
+
+
+FINAL_ROW = (1, "Jo", "A", None, 5.0, 50.0, "exact", "20240101", "20240101")
+
+
+def test_search_documents(spark):
+    document = search_documents.search_documents(spark.createDataFrame([FINAL_ROW], schemas.FINAL)).first()
+    assert (document["_index"], document["_id"]) == ("player_value-20240101", "1_20240101")
+    assert json.loads(document["_source"]) == {
+        "player_id": 1,
+        "player_name_api": "Jo",
+        "team_name": "A",
+        "league_name": None,
+        "market_value_eur": 5.0,
+        "value_index": 50.0,
+        "match_type": "exact",
+        "extraction_date": "20240101",
+        "event_time": "2024-01-01",
+        "@timestamp": "2024-01-01",
+    }
+
+
+def test_bulk_files(spark, tmp_path):
+    rows = [FINAL_ROW, FINAL_ROW, (2, *FINAL_ROW[1:])]
+    documents = search_documents.search_documents(spark.createDataFrame(rows, schemas.FINAL))
+    kept = search_documents.stored_documents(documents)
+    path = str(tmp_path / "bulk")
+    assert search_documents.write_bulk(kept, path) == {"indexed": 2, "failed": 0}
+    files = list((tmp_path / "bulk" / "event_date=20240101").glob("*.txt"))
+    lines = [json.loads(line) for f in files for line in f.read_text().splitlines()]
+    assert len(lines) == 4
+    ids = [line["index"]["_id"] for line in lines if "index" in line]
+    assert sorted(ids) == ["1_20240101", "2_20240101"]
+    assert search_documents.write_bulk(kept, path) == {"indexed": 2, "failed": 0}
+
+
+def test_latest(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 3, "b"), (1, 2, "c"), (2, 0, "d")], "id int, ts int, x string")
+    assert {r.x for r in latest(rows, ["id"], [F.desc("ts")]).collect()} == {"b", "d"}
+
+
+def test_triage(spark):
+    full = json.dumps({"errors": {"requests": "You have reached the Request Limit"}})
+    other = json.dumps({"errors": {"token": "request limit"}})
+    rows = [(200, full), (429, full), (503, None), (200, other), (200, '{"errors": []}'), (404, "<p>"), (None, None)]
+    judged = assembly.triage(spark.createDataFrame(rows, "status int, body string")).collect()
+    assert [r.outcome for r in judged] == ["quota", "retry", "retry", "ok", "ok", "ok", "ok"]
+
+
+def test_page_assembly(spark):
+    entry = "struct<team: struct<id: bigint, name: string>>"
+    page = f"team_id bigint, team_name string, page int, error string, response array<{entry}>"
+    one, none = [((1, "x"),)], []
+    rows = [(7, "A", 1, None, one * 3), (7, "A", 2, "timeout", None), (7, "A", 3, None, none), (8, "B", 1, None, [((None, "y"),)])]
+    pages = spark.createDataFrame(rows, page)
+    summary = {tuple(r) for r in assembly.page_summary(pages).collect()}
+    assert summary == {(7, "A", 3, 1, 1), (8, "B", 1, 1, 0)}
+    assert assembly.page_entries(pages).count() == 4
+    assert [tuple(r) for r in assembly.page_errors(pages).collect()] == [(7, "A", 2, "timeout")]
+    assert {r.team_id for r in assembly.team_list(pages).collect()} == {1}
+
+
+def test_default_teams(spark):
+    ids = spark.createDataFrame([(i,) for i in assembly.DEFAULT_TEAM_IDS], "team_id bigint")
+    defaults = assembly.default_teams(ids)
+    none = spark.createDataFrame([], defaults.schema)
+    assert assembly.or_default(none, defaults).count() == 19
+    some = spark.createDataFrame([(1, "A")], defaults.schema)
+    assert [tuple(r) for r in assembly.or_default(some, defaults).collect()] == [(1, "A")]
