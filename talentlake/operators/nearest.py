@@ -26,10 +26,11 @@ from talentlake.functions import text
 from talentlake.workspace import stored
 
 MAX_DISTANCE = 3
-# Distinct targets of a last name up to which its block is compared directly.
-BLOCK_LIMIT = 1024
-# Names of one last name that one task compares with up to BLOCK_LIMIT targets.
-SLICE_NAMES = 100_000
+# Distinct targets of a last name up to which its block is compared directly; about where
+# comparing a name with all of them costs as much as its edit patterns.
+BLOCK_LIMIT = 4096
+# Names of one last name that are compared with its targets in one slice.
+SLICE_NAMES = 10_000
 # Given parts up to this length use edit patterns (about 1,200 for a text of ten).
 PATTERN_LENGTH = 10
 # Stands for a blanked character; a code point that Unicode never assigns.
@@ -74,9 +75,10 @@ def nearest_names(
     crowded = blocks.where(big)
     if not crowded.isEmpty():
         crowded_targets = targets.join(crowded.select("last_name"), "last_name")
+        sides = _spread(probes.where(big), "name_normalized"), _spread(crowded_targets, "v_name")
         found += [
-            _by_patterns(probes.where(big), crowded_targets, pattern_length),
-            _by_segments(probes.where(big), crowded_targets, pattern_length),
+            _by_patterns(*sides, pattern_length),
+            _by_segments(*sides, pattern_length),
         ]
     best = F.min(F.struct("distance", "v_name", "value"))
     return (
@@ -104,6 +106,13 @@ def _blocks(left: DataFrame, targets: DataFrame, slice_names: int) -> DataFrame:
     )
 
 
+def _spread(names: DataFrame, column: str) -> DataFrame:
+    """Names dealt out evenly. Joined by last name they sit together, and by their bytes
+    they would seem too few to split, yet each is about to become hundreds of signatures."""
+    partitions = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(partitions, column)
+
+
 def _start(probes: DataFrame) -> DataFrame:
     """A row for every name, which any real candidate beats."""
     return probes.select(
@@ -143,21 +152,32 @@ def _measured(pairs: DataFrame) -> DataFrame:
 
 
 def edit_patterns(source: Column, edits: int = MAX_DISTANCE) -> Column:
-    """All texts left when at most ``edits`` characters are deleted or blanked."""
+    """All texts left when at most ``edits`` characters are deleted or blanked.
+
+    Grown character by character, each of which is kept, deleted or blanked.
+    """
+
+    def grow(states: Column, position: Column) -> Column:
+        character = F.substr(source, position, F.lit(1))
 
-    def edited(pattern: Column) -> Column:
-        def at(i: Column) -> Column:
-            head = F.left(pattern, i - 1)
-            tail = F.substr(pattern, i + 1)
-            return F.array(F.concat(head, tail), F.concat(head, F.lit(BLANK), tail))
+        def choices(state: Column) -> Column:
+            kept, used = state["kept"], (state["used"] + 1).alias("used")
+            keep = F.struct(F.concat(kept, character).alias("kept"), state["used"].alias("used"))
+            delete = F.struct(kept.alias("kept"), used)
+            blank = F.struct(F.concat(kept, F.lit(BLANK)).alias("kept"), used)
+            return F.when(state["used"] < edits, F.array(keep, delete, blank)).otherwise(
+                F.array(keep)
+            )
 
-        positions = F.when(F.length(pattern) > 0, F.sequence(F.lit(1), F.length(pattern)))
-        return F.flatten(F.transform(F.coalesce(positions, F.array().cast("array<int>")), at))
+        return F.flatten(F.transform(states, choices))
 
-    patterns = F.array(source)
-    for _ in range(edits):
-        patterns = F.array_union(patterns, F.flatten(F.transform(patterns, edited)))
-    return patterns
+    start = F.array(F.struct(F.lit("").alias("kept"), F.lit(0).alias("used")))
+    # A sequence from 1 to 0 would count down.
+    positions = F.when(F.length(source) > 0, F.sequence(F.lit(1), F.length(source))).otherwise(
+        F.array().cast("array<int>")
+    )
+    states = F.aggregate(positions, start, grow)
+    return F.array_distinct(F.transform(states, lambda state: state["kept"]))
 
 
 def _by_patterns(probes: DataFrame, targets: DataFrame, pattern_length: int) -> DataFrame:
