@@ -26,12 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three name words per document; letters of the id make the last one selective."""
-    words = F.split("text", "[ \n]", 4)
+    words = F.substring_index(F.replace("text", F.lit("\n"), F.lit(" ")), " ", 3)
     doc = F.col("doc_id")
 
     def word(i: int) -> Column:
         # DuckDB's levenshtein counts bytes, hence the two-letter form of the sharp s.
-        return F.replace(F.coalesce(F.get(words, F.lit(i)), F.lit("")), F.lit("ß"), F.lit("ss"))
+        return F.replace(F.split_part(words, F.lit(" "), F.lit(i)), F.lit("ß"), F.lit("ss"))
 
     def letter(step: int) -> Column:
         return F.char(F.lit(97) + F.floor(doc / step) % 26)
@@ -40,9 +40,9 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "source",
         "lang",
-        word(0).alias("t1"),
-        word(1).alias("t2"),
-        F.concat(word(2), letter(1), letter(26), letter(676)).alias("t3"),
+        word(1).alias("t1"),
+        word(2).alias("t2"),
+        F.concat(word(3), letter(1), letter(26), letter(676)).alias("t3"),
     )
 
 
@@ -114,8 +114,9 @@ def landed(
         except AnalysisException:  # the folder was cleared meanwhile
             pass
     _landed[key] = fresh_path(spark, derive.__name__)
-    derive(spark, sf_dir).write.parquet(_landed[key])
-    return spark.read.parquet(_landed[key])
+    derived = derive(spark, sf_dir)
+    derived.write.parquet(_landed[key])
+    return spark.read.schema(derived.schema).parquet(_landed[key])
 
 
 def roster(spark: SparkSession, sf_dir: str) -> DataFrame:

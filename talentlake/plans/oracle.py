@@ -243,10 +243,10 @@ ORACLE_SQL = {
           where page % 7 <> 0 group by team_name
         union all select 'results', team_name, sum(n)::bigint from landed
           where page % 7 <> 0 group by team_name
-        union all select 'ok blocks', team_name, count(*) from landed
+        union all select 'ok_blocks', team_name, count(*) from landed
           where page % 7 <> 0 group by team_name
         union all select part, team_name, count(*) from landed,
-          (values ('errors'), ('failed pages')) parts(part)
+          (values ('errors'), ('failed_pages')) parts(part)
           where page % 7 = 0 group by part, team_name
         union all select 'with id', o_orderstatus, count(*) from orders
           where o_orderstatus <> 'P' and floor(o_orderkey / 50) % 7 <> 0 group by o_orderstatus""",

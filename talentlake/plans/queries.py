@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +52,8 @@ def json_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def empty_source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two feeds of a day, one of which never landed."""
     landed = feeds.feed_or_empty(spark, inputs.land_values(spark, sf_dir), schemas.MARKET_VALUES)
-    absent = feeds.feed_or_empty(spark, fresh_path(spark, "absent") + "/*.json", schemas.MARKET_VALUES)
+    nowhere = fresh_path(spark, "absent") + "/*.json"
+    absent = feeds.feed_or_empty(spark, nowhere, schemas.MARKET_VALUES)
     return formatting.market_values(landed, RUN_DAY).unionByName(
         formatting.market_values(absent, RUN_DAY)
     )
@@ -85,45 +88,32 @@ def multi_date_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every shipping day, the last day with orders up to it."""
-    ordered = table(spark, sf_dir, "orders").select(
-        days.day_key(F.col("o_orderdate")).alias(snapshots.DAY)
-    )
-    asked = table(spark, sf_dir, "lineitem").select(days.day_key(F.col("l_shipdate")).alias("as_of"))
-    return snapshots.choose_days(asked.distinct(), ordered)
+    def present(name: str, moment: str, day: str) -> DataFrame:
+        # Distinct dates first, so that few are left to be formatted.
+        dates = table(spark, sf_dir, name).select(F.to_date(moment).alias("date")).distinct()
+        return dates.select(days.day_key(F.col("date")).alias(day))
+
+    ordered = present("orders", "o_orderdate", snapshots.DAY)
+    return snapshots.choose_days(present("lineitem", "l_shipdate", "as_of"), ordered)
 
 
 def page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What landed pages amount to, by team: their entries, failures and counts."""
     pages = inputs.order_pages(spark, sf_dir)
-    with_id = (
-        assembly.team_list(pages.where("error is null"))
-        .groupBy(F.col("team_name").alias("order_status"))
-        .agg(F.count("*").alias("entries"))
-    )
-    entries = (
-        assembly.page_entries(pages)
-        .groupBy(F.lit("entries").alias("part"), "team_name")
-        .agg(F.count("*").alias("n"))
-    )
-    errors = (
-        assembly.page_errors(pages)
-        .groupBy(F.lit("errors").alias("part"), "team_name")
-        .agg(F.count("*").alias("n"))
-    )
-    named = with_id.select(
-        F.lit("with id").alias("part"), F.col("order_status").alias("team_name"), F.col("entries").alias("n")
-    )
-    summary = assembly.page_summary(pages).select(
-        "team_name",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c.replace("_", " ")).alias("part"), F.col(c).alias("n"))
-                    for c in ("results", "ok_blocks", "failed_pages")
-                ]
-            )
-        ),
+    counted = {
+        "entries": assembly.page_entries(pages),
+        "errors": assembly.page_errors(pages),
+        # As a team list, the entries stand for teams that are named by the order status.
+        "with id": assembly.team_list(pages.where("error is null")),
+    }
+    parts = [
+        rows.groupBy(F.lit(part).alias("part"), "team_name").agg(F.count("*").alias("n"))
+        for part, rows in counted.items()
+    ]
+    summary = assembly.page_summary(pages).unpivot(
+        "team_name", ["results", "ok_blocks", "failed_pages"], "part", "n"
     )
-    return entries.unionByName(errors).unionByName(named).unionByName(summary)
+    return reduce(DataFrame.unionByName, [*parts, summary])
 
 
 def dimension_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
