@@ -77,7 +77,5 @@ def final_rows(spark: SparkSession, lake: str, first: str, last: str) -> DataFra
 
 def publish(spark: SparkSession, lake: str, day: str) -> dict[str, int]:
     """The day's search documents as bulk files, one per id; returns their counts."""
-    documents = search_documents.search_documents(final_rows(spark, lake, day, day))
-    return search_documents.write_bulk(
-        search_documents.stored_documents(documents), f"{lake}/{INDEX}"
-    )
+    rows = search_documents.one_per_id(final_rows(spark, lake, day, day))
+    return search_documents.write_bulk(search_documents.search_documents(rows), f"{lake}/{INDEX}")

@@ -10,13 +10,14 @@ class MissingResponseError(ValueError):
     """No envelope of a feed has a ``response``."""
 
 
-def read_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
     """Files at ``path`` (a glob, usually a day's folder), by a declared schema.
 
     An envelope file gives one row, an array file one row per element. Fields that a
-    document lacks are NULL.
+    document lacks are NULL. A multi-line file is read by one task, so a large feed should
+    land in many files, or as one document per line (``multi_line=False``), which splits.
     """
-    return spark.read.schema(schema).json(path, multiLine=True)
+    return spark.read.schema(schema).json(path, multiLine=multi_line)
 
 
 def require_response(envelopes: DataFrame) -> DataFrame:

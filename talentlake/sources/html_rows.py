@@ -7,16 +7,21 @@ standard library's parser over batches of pages.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from xml.etree.ElementTree import Element, TreeBuilder
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talentlake.schemas import MARKET_VALUES
 
+# Python workers get the parser by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The classes that mark the table, its name cell and its value cells.
 TABLE_CLASS = "items"
 NAME_CLASS = "hauptlink"

@@ -1,6 +1,9 @@
 import json
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from talentlake import schemas
@@ -142,6 +145,14 @@ def test_table_rows(spark):
     assert [tuple(r) for r in html_rows.table_rows(pages).collect()] == [("Jo & Ba", "33,59 mio. €", "u1")]
 
 
+def test_parser_travels_without_the_package(tmp_path):
+    payload = tmp_path / "parse.pkl"
+    payload.write_bytes(cloudpickle.dumps(html_rows.parse_table))
+    code = f"import pickle; print(pickle.load(open({str(payload)!r}, 'rb'))({PAGE!r}))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={})
+    assert done.stdout.strip() == "[('Jo & Ba', '33,59 mio. €')]", done.stderr
+
+
 def test_link_items(spark):
     html = '<ul><li><a href="/a"> A <b>x</b></a></li><li>no anchor</li><LI class="y"><A class="z" href="/b">B\n</A></LI></ul>'
     pages = spark.createDataFrame([(1, html), (2, ""), (3, None)], "page_id int, html string")
@@ -170,9 +181,10 @@ def test_search_documents(spark):
 
 
 def test_bulk_files(spark, tmp_path):
-    rows = [FINAL_ROW, FINAL_ROW, (2, *FINAL_ROW[1:])]
-    documents = search_documents.search_documents(spark.createDataFrame(rows, schemas.FINAL))
-    kept = search_documents.stored_documents(documents)
+    rows = [FINAL_ROW, (1, "Jo", "B", None, 9.0, 90.0, "fuzzy", *FINAL_ROW[7:]), (2, *FINAL_ROW[1:])]
+    final = search_documents.one_per_id(spark.createDataFrame(rows, schemas.FINAL))
+    assert {(r.player_id, r.market_value_eur) for r in final.collect()} == {(1, 9.0), (2, 5.0)}
+    kept = search_documents.search_documents(final)
     path = str(tmp_path / "bulk")
     assert search_documents.write_bulk(kept, path) == {"indexed": 2, "failed": 0}
     files = list((tmp_path / "bulk" / "event_date=20240101").glob("*.txt"))
