@@ -17,7 +17,6 @@ from talentlake.operators.nearest import MAX_DISTANCE, value_rank
 
 EXACT, INITIAL, FUZZY, NO_MATCH = "exact", "lastname_initial", "fuzzy", "no_match"
 
-NAME_KEYS = ["name_normalized", "last_name", "first_initial"]
 NO_VALUE_RAW = "0"
 
 
@@ -162,11 +161,23 @@ def initial_rows(roster: DataFrame, values: DataFrame, decisions: DataFrame) ->
         .join(valued, ["last_name", "first_initial"])
         .select("name_normalized", "copies_1", "market_value_eur", "market_value_raw")
     )
+    return _repeated(roster.join(links, "name_normalized"), "copies_1").withColumn(
+        "match_type", F.lit(INITIAL)
+    )
+
+
+def _repeated(rows: DataFrame, copies: str, step: int = 10_000) -> DataFrame:
+    """Every row as often as ``copies`` (at least 1) says, that column dropped.
+
+    In two steps, so that a high count does not become one long array.
+    """
+    done = F.col("round") * step
+    rounds = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(copies) - 1) / step))
+    once = F.sequence(F.lit(1).cast("bigint"), F.least(F.col(copies) - done, F.lit(step)))
     return (
-        roster.join(links, "name_normalized")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies_1")))
-        .drop("copy", "copies_1")
-        .withColumn("match_type", F.lit(INITIAL))
+        rows.withColumn("round", F.explode(rounds))
+        .withColumn("copy", F.explode(once))
+        .drop("round", "copy", copies)
     )
 
 

@@ -138,6 +138,16 @@ def test_null_values_multiply_the_residual(spark):
     }
 
 
+def test_many_copies_come_out_in_steps(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 10), ("c", 11), ("d", 25)], "x string, n bigint")
+    assert Counter(r.x for r in matching._repeated(rows, "n", step=10).collect()) == {
+        "a": 1,
+        "b": 10,
+        "c": 11,
+        "d": 25,
+    }
+
+
 def test_nearest_without_value_is_no_match(spark):
     assert types(spark, [(1, "xo ba", "t")], [("jo ba", None, None)]) == {(1, "no_match", 0.0): 1}
 
