@@ -12,7 +12,8 @@ targets x names comparisons, so there names meet through signatures instead:
 * long ones through *segments* (Pass-Join, Li et al., VLDB 2011): a target cut in k + 1
   segments leaves at least one of them intact, near its old position, under k edits.
 
-The sizes of the blocks are stored first, since they decide which routes a run needs. Every route is exact; together they give the same winner as comparing all pairs.
+The sizes of the blocks are stored first, since they decide which routes a run needs. Every
+route is exact; together they give the same winner as comparing all pairs.
 """
 
 from __future__ import annotations

@@ -62,7 +62,7 @@ def roster_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.inline(listings),
         F.col("lang").alias("league_name"),
         F.lit(RUN_DAY).alias("extraction_date"),
-    ).select("player_id", "player_name_api", "team_name", "league_name", "extraction_date")
+    )
 
 
 def values_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,10 +113,10 @@ def landed(
             return spark.read.parquet(_landed[key])
         except AnalysisException:  # the folder was cleared meanwhile
             pass
-    _landed[key] = fresh_path(spark, derive.__name__)
-    derived = derive(spark, sf_dir)
-    derived.write.parquet(_landed[key])
-    return spark.read.schema(derived.schema).parquet(_landed[key])
+    path, derived = fresh_path(spark, derive.__name__), derive(spark, sf_dir)
+    derived.write.parquet(path)
+    _landed[key] = path
+    return spark.read.schema(derived.schema).parquet(path)
 
 
 def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
