@@ -24,7 +24,7 @@ lines as (
 freq as (
   select source, line from (select distinct source, doc_id, line from lines) group by source, line having count(*) > 20),
 removed as (
-  select r, sum(len(string_split(line, ' '))) as removed_words, count(*) as removed_lines
+  select r, sum(len(string_split(l.line, ' '))) as removed_words, count(*) as removed_lines
   from lines l join freq f on l.line = f.line and l.source is not distinct from f.source group by r),
 base as (
   select d.r, doc_id, len(w)::bigint as n_words,

@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentlake.llm.frames import table
 from talentlake.llm.line_frequency import line_frequency
+from talentlake.llm.packing import pack
+from talentlake.llm.secrets import KINDS, secrets
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
 
 
 def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +36,26 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *base, "base_failed", "kept", "removed_words", "removed_lines")
 
 
+def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(KINDS[:3]))
+    live = F.filter("spans", lambda s: s["live"])
+    return secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *map(count, KINDS[:3]),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        joined(live).alias("live_spans"),
+    )
+
+
 QUERIES = {
+    "op5_concatenate_and_cut": op5_concatenate_and_cut,
     "op6_line_frequency": op6_line_frequency,
+    "op10_ownership_frequency": op10_ownership_frequency,
 }
