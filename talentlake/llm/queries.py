@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talentlake.llm import quality, toxicity
 from talentlake.llm.frames import table
+from talentlake.llm.labelled import fold
 from talentlake.llm.line_frequency import line_frequency
 from talentlake.llm.packing import pack
 from talentlake.llm.secrets import KINDS, secrets
@@ -17,6 +19,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = F.col("doc_id").isNotNull() & (fold() == 0)
+    return toxicity.toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select(
@@ -36,6 +45,17 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *base, "base_failed", "kept", "removed_words", "removed_lines")
 
 
+def grade() -> Column:
+    """Rating of a labelled row: 0 low quality, 1 toxic, 2 neither."""
+    return F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+
+
+def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), grade())
+    return quality.quality(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -55,7 +75,9 @@ def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_kneser_ney": op4_kneser_ney,
     "op5_concatenate_and_cut": op5_concatenate_and_cut,
     "op6_line_frequency": op6_line_frequency,
+    "op8_ordinal_quality": op8_ordinal_quality,
     "op10_ownership_frequency": op10_ownership_frequency,
 }
