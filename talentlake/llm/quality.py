@@ -5,7 +5,7 @@ probability of each grade: P(grade <= k) = logistic(threshold_k - number). From
 expected grade, and the tail probability by which texts are selected.
 
 Features: trigrams of characters and trigrams of their classes, hashed, as shares of the text;
-and four ratios of the whole text. The fit takes at most ``max_labelled`` rated rows outside the
+and seven ratios of the whole text (distinct words, repeats, lengths). The fit takes at most ``max_labelled`` rated rows outside the
 held-out fold (a documented bound; the sample is broadcast to one scan and its hashed features
 are collected). Scoring is one narrow pass that shuffles nothing: a text's number is the mean
 of its trigrams' weights, so no feature is stored.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import unicodedata
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ TAIL_GRADE = 1
 MIN_TAIL = 0.5
 BUCKETS = 1 << 15  # of each kind of trigram
 SCALE = 30.0
-RATIOS = 4
+RATIOS = 7
 STEPS = 150
 
 
@@ -64,8 +65,12 @@ def _ratios(text: str) -> tuple[float, ...]:
     words, lines = text.split(), [line for line in text.split("\n") if line.strip()]
     if not words:
         return (0.0,) * RATIOS
+    distinct = len(set(words)) / len(words)
     return (
-        len(set(words)) / len(words),
+        distinct,
+        float(distinct < 0.5),
+        float(distinct < 0.25),
+        sum(map(eq, words, words[1:])) / len(words),
         1 - len(set(lines)) / len(lines) if lines else 0.0,
         math.log1p(len(words)) / 10,
         min(len(text) / len(words) / 20, 2.0),
