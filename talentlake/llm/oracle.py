@@ -42,6 +42,25 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from failed
 """
 
+COLLISION_COUNTING = """
+with recursive e as (
+  select row_number() over () as r, vec_id, label, embedding::double[] as v from embeddings),
+usable as (
+  select r, vec_id, label, v from e
+  where label is not null and len(v) > 0 and not list_contains(list_transform(v, lambda x: x is null or not isfinite(x)), true)
+    and list_inner_product(v, v) > 0),
+pairs as (
+  select a.r as a, b.r as b from usable a join usable b
+    on a.label = b.label and a.r <> b.r and len(a.v) = len(b.v)
+  where list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.93),
+reach(a, b) as (select r, r from e union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a),
+least as (select reach.a as r, min(e.vec_id) as component_id from reach join e on e.r = reach.b group by reach.a),
+n as (select a as r, count(*) as n_links from pairs group by a)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id is not distinct from component_id as kept
+from e left join n on e.r = n.r left join least on e.r = least.r
+"""
+
 ORACLE_SQL = {
+    "op2_collision_counting": COLLISION_COUNTING,
     "op6_line_frequency": LINE_FREQUENCY,
 }

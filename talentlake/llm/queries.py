@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentlake.llm import quality, toxicity
+from talentlake.llm.collisions import near_duplicates
 from talentlake.llm.frames import table
 from talentlake.llm.labelled import fold
 from talentlake.llm.line_frequency import line_frequency
@@ -19,6 +20,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -75,6 +80,7 @@ def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_collision_counting": op2_collision_counting,
     "op4_kneser_ney": op4_kneser_ney,
     "op5_concatenate_and_cut": op5_concatenate_and_cut,
     "op6_line_frequency": op6_line_frequency,
