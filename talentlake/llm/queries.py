@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from talentlake.llm import quality, toxicity
 from talentlake.llm.collisions import near_duplicates
 from talentlake.llm.frames import table
+from talentlake.llm.jaccard import jaccard_join
 from talentlake.llm.labelled import fold
 from talentlake.llm.line_frequency import line_frequency
 from talentlake.llm.packing import pack
@@ -50,6 +51,10 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *base, "base_failed", "kept", "removed_words", "removed_lines")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def grade() -> Column:
     """Rating of a labelled row: 0 low quality, 1 toxic, 2 neither."""
     return F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
@@ -84,6 +89,7 @@ QUERIES = {
     "op4_kneser_ney": op4_kneser_ney,
     "op5_concatenate_and_cut": op5_concatenate_and_cut,
     "op6_line_frequency": op6_line_frequency,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_ordinal_quality": op8_ordinal_quality,
     "op10_ownership_frequency": op10_ownership_frequency,
 }

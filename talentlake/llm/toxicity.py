@@ -75,12 +75,12 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = {group: Counter() for group in (ORDINARY, TOXIC, SHARED)}
-        totals = {group: np.zeros(CELLS, dtype=np.int64) for group in seen}
+        totals = {group: np.zeros(CELLS, dtype=np.int32) for group in seen}
 
         def settle(group: int) -> None:
             words = seen[group]
             cells = np.fromiter(map(_cells.__getitem__, words), dtype=np.int64, count=len(words))
-            np.add.at(totals[group], cells, np.fromiter(words.values(), dtype=np.int64, count=len(words)))
+            np.add.at(totals[group], cells, np.fromiter(words.values(), dtype=np.int32, count=len(words)))
             words.clear()
 
         for batch in slices(batches):
@@ -97,7 +97,7 @@ def counted(docs: DataFrame) -> DataFrame:
             cells = np.flatnonzero(total)
             for start in range(0, len(cells), 1 << 16):
                 part = cells[start : start + (1 << 16)]
-                columns = [pa.array(np.full(len(part), group, dtype=np.int32)), pa.array(part), pa.array(total[part])]
+                columns = [pa.array(np.full(len(part), group, dtype=np.int32)), pa.array(part), pa.array(total[part].astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=["group", "cell", "n"])
 
     rows = docs.mapInArrow(run, "group int, cell bigint, n bigint")
@@ -127,13 +127,13 @@ class Model:
         group, cell, n = (counts.column(c).to_numpy() for c in ("group", "cell", "n"))
         tables = []
         for g in (ORDINARY, TOXIC, SHARED):
-            table = np.zeros(CELLS)
+            table = np.zeros(CELLS, dtype=np.float32)
             table[cell[group == g]] = n[group == g]
             tables.append(table)
-        shared = _levels((tables[SHARED] > 0).astype(float))
+        shared = _levels((tables[SHARED] > 0).astype(np.float32))
         logs = []
         for table in tables[:2]:
-            whole = np.zeros(())
+            whole = np.zeros((), dtype=np.float32)
             for level, (own, types) in enumerate(zip(_levels(table), shared)):
                 backoff = (types + 0.5) / (types + 0.5).sum(axis=1, keepdims=True)
                 total = own.sum(axis=1, keepdims=True)
