@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from talentlake.llm import quality, toxicity
 from talentlake.llm.collisions import near_duplicates
-from talentlake.llm.frames import table
+from talentlake.llm.frames import same, table, text_hash
 from talentlake.llm.jaccard import jaccard_join
 from talentlake.llm.labelled import fold
+from talentlake.llm.line_dedup import repeated_lines
 from talentlake.llm.line_frequency import line_frequency
 from talentlake.llm.packing import pack
 from talentlake.llm.secrets import KINDS, secrets
@@ -21,6 +22,18 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    removed = repeated_lines(docs)
+    keys = docs.select("doc_id", text_hash().alias("text_hash"))
+    return keys.join(removed, same(keys, removed, "doc_id", "text_hash"), "left").select(
+        keys["doc_id"],
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("near", F.lit(0)).cast("long").alias("n_near"),
+        F.coalesce(F.array_join(F.transform("removed", lambda k: k.cast("string")), ","), F.lit("")).alias("removed_lines"),
+    )
+
+
 def op2_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +98,7 @@ def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_collision_counting": op2_collision_counting,
     "op4_kneser_ney": op4_kneser_ney,
     "op5_concatenate_and_cut": op5_concatenate_and_cut,

@@ -174,11 +174,13 @@ def redact(
     text: str = "text",
     owner: str = "source",
     repository: str = "doc_id",
+    size: str | None = None,
     max_owners: int = MAX_OWNERS,
     max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """``docs``, all rows and columns, with every live-looking secret replaced by
-    ``[secret]``. Only texts with candidates are joined to their verdicts."""
+    ``[secret]``. Only texts with candidates are joined to their verdicts. ``size`` names a
+    column that holds the text's length."""
     name = first_of(["found", "row_key", "key", "spans"], docs.columns)
     found, row = name["found"], name["row_key"]
     scanned = docs.withColumn(found, F.coalesce(scan(F.col(text)), F.array().cast(SPAN)))
@@ -204,5 +206,9 @@ def redact(
         cover,
         lambda s: F.concat(s["out"], F.substring(F.col(text), s["at"] + 1, F.length(text))),
     )
+    any_live = F.size(spans) > 0
     columns = [covered.alias(c) if c == text else F.col(c) for c in docs.columns]
+    if size:
+        length = F.when(any_live, F.length(covered).cast(docs.schema[size].dataType)).otherwise(F.col(size))
+        columns[docs.columns.index(size)] = length.alias(size)
     return clean.unionByName(held.join(judged, row).select(*columns))
