@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentlake.llm import quality, toxicity
+from talentlake.llm import licences, quality, toxicity
 from talentlake.llm.collisions import near_duplicates
 from talentlake.llm.frames import same, table, text_hash
 from talentlake.llm.jaccard import jaccard_join
@@ -38,6 +38,19 @@ def op2_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licences.licences(docs, licences.fit(docs))
+    return found.select(
+        "doc_id",
+        F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct(F.col("notices.family"))), ",").alias("families"),
+        F.array_join(
+            F.transform("notices", lambda x: F.concat_ws(":", x["paragraph"].cast("string"), x["family"])), ","
+        ).alias("paragraphs"),
+    )
+
+
 def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -100,6 +113,7 @@ def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_collision_counting": op2_collision_counting,
+    "op3_licence_classifier": op3_licence_classifier,
     "op4_kneser_ney": op4_kneser_ney,
     "op5_concatenate_and_cut": op5_concatenate_and_cut,
     "op6_line_frequency": op6_line_frequency,
