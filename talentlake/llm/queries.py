@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentlake.llm import licences, quality, toxicity
+from talentlake.llm import licences, quality, segmentations, toxicity
 from talentlake.llm.collisions import near_duplicates
 from talentlake.llm.frames import same, table, text_hash
 from talentlake.llm.jaccard import jaccard_join
@@ -92,6 +92,18 @@ def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(docs.select("doc_id", "text"), model).drop("text")
 
 
+def op9_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = segmentations.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return samples.select(
+        "doc_id",
+        "sample",
+        (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        "log_prob",
+        "inclusion",
+    )
+
+
 def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -119,5 +131,6 @@ QUERIES = {
     "op6_line_frequency": op6_line_frequency,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_ordinal_quality": op8_ordinal_quality,
+    "op9_gumbel_segmentations": op9_gumbel_segmentations,
     "op10_ownership_frequency": op10_ownership_frequency,
 }
