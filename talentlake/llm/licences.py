@@ -3,8 +3,9 @@
 Sparse multinomial logistic regression over hashed word uni- and bigrams tells licence families
 from each other and from ``unknown``. It is trained on notices (below) with words dropped, swapped
 and put around them, and on ordinary paragraphs of the corpus. A temperature fitted on paragraphs
-outside the training calibrates the probabilities, so that unknown is a class like any other. A
-predicted family must then be confirmed: enough word pairs of one of its notices must occur in
+outside the training calibrates the probabilities, and a window is unknown where that class is
+more probable than it is on ``NOTICE_SHARE`` of the notices outside the training. A predicted
+family must then be confirmed: enough word pairs of one of its notices must occur in
 the paragraph. Paragraphs are lines; long ones are read in overlapping windows of ``WINDOW``
 words, so that a notice inside a long paragraph is not diluted.
 
@@ -32,10 +33,10 @@ MAX_DOCS = 1_000
 MAX_PARAGRAPHS = 3_000
 VARIANTS = 30
 BUCKETS = 1 << 16
-WINDOW = 40
-STRIDE = 20
+WINDOW = 24
+STRIDE = 8  # a notice of up to WINDOW - STRIDE words lies whole in some window
 MIN_SHARE = 0.6
-MIN_PROBABILITY = 0.5
+NOTICE_SHARE = 0.995
 STEPS = 100
 UNKNOWN = "unknown"
 
@@ -44,7 +45,7 @@ NOTICES = {
     "agpl-3.0": ["licensed under the gnu affero general public license version 3", "released under the agpl version 3"],
     "apache-2.0": [
         "licensed under the apache license version 2.0",
-        "you may not use this file except in compliance with the license you may obtain a copy of the license at apache org licenses license 2.0",
+        "you may not use this file except in compliance with the license",
         "spdx license identifier apache 2.0",
     ],
     "bsd": [
@@ -135,6 +136,7 @@ class Model:
     weights: np.ndarray  # bucket by class
     bias: np.ndarray
     temperature: float = 1.0
+    most_unknown: float = 0.5  # probability of unknown above which a window is unknown
 
     @classmethod
     def fit(cls, ordinary: list[list[str]], seed: int = 5) -> Model:
@@ -148,8 +150,10 @@ class Model:
                     words = notice.split()
                     if variant:
                         words = [w for w in words if rng.random() > 0.05]
-                        around = [rng.choice(filler, rng.integers(0, 16)).tolist() for _ in range(2)]
-                        words = [*around[0], *words, *around[1]]
+                        room = rng.integers(0, max(WINDOW - len(words), 0) + 1)
+                        around = rng.choice(filler, room).tolist()
+                        cut = rng.integers(0, room + 1)
+                        words = [*around[:cut], *words, *around[cut:]]
                     rows.append(features(codes(paragraph_words(" ".join(words)))))
                     y.append(k)
         rows += [features(codes(words)) for words in ordinary]
@@ -160,6 +164,8 @@ class Model:
             z, truth = np.stack([model.logits(rows[i]) for i in np.flatnonzero(held)]), y[held]
             losses = {t: -np.log(_softmax(z / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0)}
             model.temperature = min(losses, key=losses.get)
+            unknown = _softmax(z[truth > 0] / model.temperature)[:, 0]
+            model.most_unknown = float(max(0.5, np.quantile(unknown, NOTICE_SHARE))) if len(unknown) else 0.5
         return model
 
     @classmethod
@@ -170,6 +176,9 @@ class Model:
         k = len(CLASSES)
         w, b = np.zeros((len(cell), k), dtype=np.float32), np.zeros(k, dtype=np.float32)
         truth = np.eye(k, dtype=np.float32)[y]
+        # Notices together count as much as ordinary text.
+        half = np.where(y == 0, max((y == 0).sum(), 1), max((y > 0).sum(), 1))
+        mass = (0.5 / half).astype(np.float32)[:, None]
         moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (w, b)]
         order = np.argsort(at, kind="stable")
         starts = np.flatnonzero(np.diff(at[order], prepend=-1))
@@ -177,7 +186,7 @@ class Model:
         for step in range(1, STEPS + 1):
             z = np.zeros((len(rows), k), dtype=np.float32)
             z[row[row_starts]] = np.add.reduceat(w[at] * share[:, None], row_starts, axis=0)
-            error = (_softmax(z + b) - truth) / len(rows)
+            error = (_softmax(z + b) - truth) * mass
             gradient = np.add.reduceat((error[row] * share[:, None])[order], starts, axis=0) + 1e-6 * w
             for p, g, (m, v) in ((w, gradient, moments[0]), (b, error.sum(axis=0), moments[1])):
                 m *= 0.9
@@ -193,7 +202,7 @@ class Model:
         return self.weights[row].sum(axis=0) / np.sqrt(max(len(row), 1)) + self.bias
 
     def windows(self, paragraphs: list[list[str]]) -> list[tuple[int, str, float]]:
-        """(paragraph, family, probability) of every window with a confirmed family."""
+        """(paragraph, family, probability among families) of every window with a confirmed one."""
         at, start, size = [], [], []
         base = 0
         for i, words in enumerate(paragraphs):
@@ -214,12 +223,12 @@ class Model:
         z = sums[ends] - sums[starts] - self.weights[two[starts]]
         z = z / np.sqrt(2 * sizes - 1)[:, None] + self.bias
         p = _softmax(z / self.temperature)
-        best = p.argmax(axis=1)
+        best = 1 + p[:, 1:].argmax(axis=1)
         found = []
-        for i in np.flatnonzero((best > 0) & (p.max(axis=1) >= MIN_PROBABILITY)).tolist():
+        for i in np.flatnonzero(p[:, 0] <= self.most_unknown).tolist():
             family = CLASSES[best[i]]
             if share_of_notice(family, x[starts[i] : ends[i]]) >= MIN_SHARE:
-                found.append((at[i], family, float(p[i, best[i]])))
+                found.append((at[i], family, float(p[i, best[i]] / (1 - p[i, 0]))))
         return found
 
 

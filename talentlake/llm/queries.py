@@ -100,7 +100,7 @@ def op9_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
         F.crc32("ids").alias("ids_crc32"),
         "log_prob",
-        "inclusion",
+        "log_inclusion",
     )
 
 

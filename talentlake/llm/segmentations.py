@@ -13,8 +13,9 @@ Pieces never cross from a word to the white space after it. The lattices of a ba
 words are built and summed together, and the descents of all its texts are array work too.
 Random numbers are hashes of the row key and the place of their use, so a row's samples depend
 on no other row and no partitioning. A sample comes with its log-probability, its perturbed
-value, and its inclusion score 1 - exp(-exp(log_prob - kappa)), kappa being the value of the best
-segmentation not taken: the weight for unbiased estimates over samples.
+value, and the logarithm of its inclusion score 1 - exp(-exp(log_prob - kappa)), kappa being the
+value of the best segmentation not taken: exp(log_prob - log_inclusion) is the weight for unbiased
+estimates over samples.
 
 Null or empty text: one empty segmentation, score 1. Texts with fewer than ``k`` segmentations
 give all of them, score 1. Repeated rows give equal samples. A null id is a key like another.
@@ -280,7 +281,7 @@ class Search:
 
 
 def sample(model: Pieces, texts: list[str], keys: list[int], k: int) -> list[list[tuple[bytes, float, float, float]]]:
-    """Per text its samples, best first: (ids, log_prob, perturbed value, inclusion score)."""
+    """Per text its samples, best first: (ids, log_prob, perturbed value, log of the inclusion score)."""
     batch = Batch(model, texts)
     seeds = mixed(np.array(keys, dtype=np.uint64))
     searches = [Search(k + 1) for _ in texts]
@@ -347,8 +348,8 @@ def _samples(batch: Batch, search: Search) -> list[tuple[bytes, float, float, fl
     kappa = search.open[0][0] if search.open else -math.inf
     out = []
     for _, edges, log_prob, value in search.paths:
-        # 1 - exp(-exp(x)), which is 1 where nothing was left out.
-        score = 1.0 if log_prob - kappa > 6 else -math.expm1(-math.exp(log_prob - kappa))
+        x = log_prob - kappa  # of long texts far below 0, where log(1 - exp(-exp(x))) is x
+        score = x if x < -30 else 0.0 if x > 6 else math.log(-math.expm1(-math.exp(x)))
         out.append((batch.ids(edges), log_prob, value, score))
     return out
 
@@ -362,7 +363,7 @@ def encode(
     text: str = "text",
 ) -> DataFrame:
     """One row per sample: ``doc_id``, ``sample`` (0 the best), ``ids`` (little-endian unsigned
-    32-bit numbers), ``log_prob``, ``perturbed``, ``inclusion``."""
+    32-bit numbers), ``log_prob``, ``perturbed``, ``log_inclusion``."""
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         owner, rows = [], []
@@ -380,11 +381,11 @@ def encode(
             "ids": pa.array(columns[1], type=pa.binary()),
             "log_prob": pa.array(columns[2], type=pa.float64()),
             "perturbed": pa.array(columns[3], type=pa.float64()),
-            "inclusion": pa.array(columns[4], type=pa.float64()),
+            "log_inclusion": pa.array(columns[4], type=pa.float64()),
         }
 
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = f"doc_id {typed(read, 'doc_id')}, sample int, ids binary, log_prob double, perturbed double, inclusion double"
+    schema = f"doc_id {typed(read, 'doc_id')}, sample int, ids binary, log_prob double, perturbed double, log_inclusion double"
     return map_slices(read, run, schema)
 
 

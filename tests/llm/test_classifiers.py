@@ -109,11 +109,15 @@ def test_licences_against_literal_notices(spark):
 
 
 def test_licence_edges(spark):
-    notice = "filler " * 500 + "You may use it. Released under the MIT License. " + "filler " * 500
+    ordinary = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    around = " ".join(r["text"].replace("\n", " ") for r in ordinary.where("lang = 'en'").limit(3).collect())
+    notice = f"{around} You may use it. Released under the MIT License. {around}"
     docs = frame(spark, [*EDGES, (7, notice), (8, "All rights reserved\n\nLicensed under CC BY-SA 4.0")])
-    model = licences.fit(docs)
+    model = licences.fit(ordinary)
     found = {(r["doc_id"], tuple((n["paragraph"], n["family"]) for n in r["notices"])) for r in licences.licences(docs, model).collect()}
     assert (7, ((0, "mit"),)) in found
     assert (8, ((0, "proprietary"), (2, "cc-by-sa"))) in found
     assert all(not notices for i, notices in found if i not in (7, 8))
     assert licences.licences(docs.limit(0), model).collect() == []
+    licences.fit(docs)
+    licences.fit(docs.limit(0))

@@ -47,7 +47,7 @@ def test_all_segmentations_of_a_short_text(model):
         expected = all_paths(model, text)
         found = sample(model, [text], [3], len(expected) + 5)[0]
         assert {ids_of(ids): pytest.approx(lp) for ids, lp, _, _ in found} == expected
-        assert all(score == 1.0 for *_, score in found[-1:])
+        assert all(score == 0.0 for *_, score in found[-1:])
         assert sum(math.exp(lp) for _, lp, _, _ in found) == pytest.approx(1)
 
 
@@ -60,7 +60,7 @@ def test_first_samples_follow_the_probabilities_and_scores_are_unbiased(model):
         assert [g for _, _, g, _ in out] == sorted((g for _, _, g, _ in out), reverse=True)
         first[ids_of(out[0][0])] += 1
         for ids, lp, _, score in out:
-            estimate[ids_of(ids)] += math.exp(lp) / score
+            estimate[ids_of(ids)] += math.exp(lp - score)
     for ids, lp in expected.items():
         p = math.exp(lp)
         assert first[ids] / n == pytest.approx(p, abs=5 * math.sqrt(p * (1 - p) / n) + 1e-3)
@@ -86,7 +86,7 @@ def test_round_trip_in_spark(spark, model):
     for r in out:
         text = TEXTS[r["doc_id"]] or ""
         assert r["text"] == model.processor.decode(model.processor.encode(text))
-        assert 0 < r["inclusion"] <= 1
+        assert -math.inf < r["log_inclusion"] <= 0
     assert {r["doc_id"] for r in out} == set(TEXTS)
     per_row = Counter(r["doc_id"] for r in out)
     assert per_row[2] == per_row[3] == 1 and per_row[6] == 4 and per_row[1] == 8
