@@ -42,11 +42,16 @@ def page_summary(pages: DataFrame) -> DataFrame:
 
 
 def team_list(team_envelopes: DataFrame) -> DataFrame:
-    """Ids and names of the team list; entries without an id are skipped."""
+    """Ids and names of the team list; entries without an id, or with id 0, are skipped, and a
+    team without a name is named by its id."""
+    team_id, name = F.col("entry.team.id"), F.col("entry.team.name")
     return (
         team_envelopes.select(F.explode("response").alias("entry"))
-        .select(F.col("entry.team.id").alias("team_id"), F.col("entry.team.name").alias("team_name"))
-        .where("team_id is not null")
+        .select(
+            team_id.alias("team_id"),
+            F.coalesce(name, F.concat(F.lit("team_"), team_id.cast("string"))).alias("team_name"),
+        )
+        .where("team_id <> 0")
     )
 
 

@@ -10,6 +10,7 @@ A rerun of a day replaces that day and no other.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,29 +29,39 @@ def _raw(lake: str, feed: str, day: str) -> str:
 def format_rosters(
     spark: SparkSession, lake: str, day: str, league: str = formatting.ROSTER_LEAGUE
 ) -> None:
-    """Roster feed to ``formatted/stats``; a day without feed reuses the last snapshot."""
+    """Roster feed to ``formatted/stats``. A feed that did not land, or that holds no player (an
+    empty, corrupt or quota response), leaves the day as it is or reuses the last one before."""
     landed = feeds.feed_or_none(spark, _raw(lake, "rosters", day), schemas.ROSTER_ENVELOPE)
     if landed is not None:
         stats = formatting.rosters(landed, day, league)
-    else:
+        if not stats.isEmpty():
+            snapshots.replace_day(stats, f"{lake}/{STATS}", day, "extraction_date")
+            return
+    try:
         past = snapshots.read_snapshots(spark, f"{lake}/{STATS}", schemas.STATS_FORMATTED)
         reused = snapshots.read_as_of(past, day, "extraction_date")
-        stats = reused.withColumn("extraction_date", F.lit(day))
-    snapshots.write_snapshot(stats, f"{lake}/{STATS}", "extraction_date")
+        last = reused.select("extraction_date").first()
+    except AnalysisException:  # nothing was ever written
+        last = None
+    if last is None:
+        raise feeds.MissingResponseError(f"no roster landed for {day} and there is none before it")
+    if last["extraction_date"] != day:
+        again = reused.withColumn("extraction_date", F.lit(day))
+        snapshots.replace_day(again, f"{lake}/{STATS}", day, "extraction_date")
 
 
 def format_player_stats(spark: SparkSession, lake: str, day: str) -> None:
     """Player-stats feed to ``formatted/stats``, the other producer of that table."""
     landed = feeds.read_feed(spark, _raw(lake, "player_stats", day), schemas.PLAYER_STATS_ENVELOPE)
     stats = formatting.player_stats(feeds.require_response(landed), day)
-    snapshots.write_snapshot(stats, f"{lake}/{STATS}", "extraction_date")
+    snapshots.replace_day(stats, f"{lake}/{STATS}", day, "extraction_date")
 
 
 def format_values(spark: SparkSession, lake: str, day: str) -> None:
     """Market-value feed to ``formatted/values``; a day without feed has no rows."""
     landed = feeds.feed_or_empty(spark, _raw(lake, "market_values", day), schemas.MARKET_VALUES)
     values = formatting.market_values(landed, day)
-    snapshots.write_snapshot(values, f"{lake}/{VALUES}", "extraction_date")
+    snapshots.replace_day(values, f"{lake}/{VALUES}", day, "extraction_date")
 
 
 def combine(spark: SparkSession, lake: str, day: str, keep_unmatched: bool = False) -> Cascade:
@@ -65,7 +76,7 @@ def combine(spark: SparkSession, lake: str, day: str, keep_unmatched: bool = Fal
         of_day(VALUES, schemas.VALUES_FORMATTED, "player_name"),
     )
     final = scoring.score(cascade, day, keep_unmatched)
-    snapshots.write_snapshot(final, f"{lake}/{USAGE}", "event_time")
+    snapshots.replace_day(final, f"{lake}/{USAGE}", day, "event_time")
     return cascade
 
 
@@ -78,4 +89,5 @@ def final_rows(spark: SparkSession, lake: str, first: str, last: str) -> DataFra
 def publish(spark: SparkSession, lake: str, day: str) -> dict[str, int]:
     """The day's search documents as bulk files, one per id; returns their counts."""
     rows = search_documents.one_per_id(final_rows(spark, lake, day, day))
-    return search_documents.write_bulk(search_documents.search_documents(rows), f"{lake}/{INDEX}")
+    documents = search_documents.search_documents(rows)
+    return search_documents.write_bulk(documents, f"{lake}/{INDEX}", day)

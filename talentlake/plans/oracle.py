@@ -229,7 +229,7 @@ ORACLE_SQL = {
     "envelope_validate": f"with {FEED} select shard, count(*)::int as results from feed group by shard",
     "snapshot_write_read": """select event_id, strftime(ts, '%Y%m%d') as event_date,
           case when strftime(ts, '%Y%m%d') = '20240115' then value * 2 else value end as value
-        from events""",
+        from events where strftime(ts, '%Y%m%d') <> '20240116'""",
     "multi_date_read": """select strftime(ts, '%Y%m%d') as event_date, event_type,
           count(*) as n, round(sum(value), 2) as total_value
         from events where strftime(ts, '%Y%m%d') between '20240105' and '20240120'
@@ -249,7 +249,8 @@ ORACLE_SQL = {
           (values ('errors'), ('failed_pages')) parts(part)
           where page % 7 = 0 group by part, team_name
         union all select 'with id', o_orderstatus, count(*) from orders
-          where o_orderstatus <> 'P' and floor(o_orderkey / 50) % 7 <> 0 group by o_orderstatus""",
+          where o_orderstatus <> 'P' and o_orderkey <> 0 and floor(o_orderkey / 50) % 7 <> 0
+          group by o_orderstatus""",
     "dimension_fallback": """select r_regionkey::bigint as team_id,
           concat('team_', r_regionkey) as team_name, 'empty' as input from region
         union all select n_nationkey::bigint, n_name, 'filled' from nation""",
@@ -349,7 +350,7 @@ ORACLE_SQL = {
         union all select {LINK}, 0.0::double, '0', 'no_match', league_name
         from unmatched where listing = 1""",
     "value_index": f"with {FINAL} select * from final",
-    "final_projection": f"with {FINAL} select * exclude (value_index) from final",
+    "final_projection": f"with {FINAL} select * from final",
     "top_players": f"""with {FINAL}
         select {LINK}, market_value_eur, value_index, match_type from final
         order by market_value_eur desc, player_id, team_name, player_name_api, match_type

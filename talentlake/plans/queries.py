@@ -65,12 +65,13 @@ def envelope_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days written, then one of them again with doubled values."""
+    """All days written, then one of them again with doubled values, and one with none."""
     events = inputs.daily_events(spark, sf_dir).select("event_id", "value", snapshots.DAY)
     path = fresh_path(spark, "snapshots")
     snapshots.write_snapshot(events, path)
     again = events.where(F.col(snapshots.DAY) == "20240115").withColumn("value", F.col("value") * 2)
     snapshots.write_snapshot(again, path)
+    snapshots.replace_day(events.where("false"), path, "20240116")
     return snapshots.read_snapshots(spark, path, events.schema)
 
 
@@ -341,11 +342,10 @@ def exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def residual_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Level one's rows, by whether they stop there or go on."""
+    """Level one's rows, by whether they stop there or go on; one pass over the level."""
     level = matching.exact_match(*_sides(spark, sf_dir))
-    stops = matching.matched(level).select(*LINK, F.lit("matched").alias("side"))
-    goes_on = matching.residual(level).select(*LINK, F.lit("residual").alias("side"))
-    return stops.unionByName(goes_on)
+    side = F.when(F.col("market_value_eur").isNotNull(), "matched").otherwise("residual")
+    return level.select(*LINK, side.alias("side"))
 
 
 def lastname_initial_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,9 +392,8 @@ def value_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def final_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The published columns of the match rows, without the score's second pass."""
-    rows = _cascade(spark, sf_dir).rows().withColumn("value_index", F.lit(None).cast("double"))
-    return scoring.final_table(rows, RUN_DAY).drop("value_index")
+    """All published columns of the match rows."""
+    return _rounded(scoring.score(_cascade(spark, sf_dir), RUN_DAY))
 
 
 def top_players(spark: SparkSession, sf_dir: str) -> DataFrame:

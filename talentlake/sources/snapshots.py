@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,17 @@ def write_snapshot(df: DataFrame, path: str, day: str = DAY) -> None:
     )
 
 
+def replace_day(df: DataFrame, path: str, value: str, day: str = DAY) -> None:
+    """Make ``df``'s rows of the day all that the day holds, even if there are none."""
+    (
+        df.where(F.col(day) == value)
+        .drop(day)
+        .hint("rebalance")
+        .write.mode("overwrite")
+        .parquet(f"{path}/{day}={value}")
+    )
+
+
 def read_snapshots(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """All days. The declared schema keeps the day a string, where inference makes it int."""
     return spark.read.schema(schema).parquet(path)
@@ -36,15 +47,19 @@ def between(snapshots: DataFrame, first: str, last: str, day: str = DAY) -> Data
 def choose_days(asked: DataFrame, snapshots: DataFrame, day: str = DAY) -> DataFrame:
     """Add ``chosen_day`` to days ``as_of``: the day itself if present, else the last before.
 
-    The days present travel as one array, no longer than the calendar whatever the data.
+    Answered once per distinct day asked, by a running maximum over the days of both sides (no
+    more than the calendar has), and joined back on equality.
     """
-    present = snapshots.agg(F.collect_set(day)).scalar()
-    up_to = F.filter("present", lambda d: d <= F.col("as_of"))
-    return (
-        asked.withColumn("present", present)
-        .withColumn("chosen_day", F.array_max(up_to))
-        .drop("present")
+    present = snapshots.select(F.col(day).alias("moment"), F.col(day).alias("present")).distinct()
+    wanted = asked.select(F.col("as_of").alias("moment"), F.lit(None).cast("string").alias("present"))
+    days = wanted.distinct().unionByName(present)
+    upto = Window.orderBy("moment").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    chosen = (
+        days.withColumn("chosen_day", F.max("present").over(upto))
+        .groupBy(F.col("moment").alias("as_of"))
+        .agg(F.max("chosen_day").alias("chosen_day"))
     )
+    return asked.join(chosen, "as_of", "left")
 
 
 def read_as_of(

@@ -82,3 +82,34 @@ def test_player_stats_producer(spark, tmp_path):
     jobs.format_values(spark, lake, "20240101")
     jobs.combine(spark, lake, "20240101")
     assert final(spark, lake, "20240101", "20240101") == [("20240101", 5, "exact", 100.0)]
+
+
+def test_a_day_is_replaced_by_nothing(spark, tmp_path):
+    """A rerun whose values are gone, and one in which nobody matches, leave an empty day."""
+    lake, day = str(tmp_path), "20240101"
+    land(tmp_path, "rosters", day, roster("Jo Ba"))
+    land(tmp_path, "market_values", day, values(Jo_Ba="2 mio. €"))
+
+    def run():
+        jobs.format_rosters(spark, lake, day)
+        jobs.format_values(spark, lake, day)
+        jobs.combine(spark, lake, day)
+        return len(final(spark, lake, day, day)), jobs.publish(spark, lake, day)["indexed"]
+
+    assert run() == (1, 1)
+    (tmp_path / "raw" / "market_values" / day / "feed.json").write_text(json.dumps(values(Xx_Yy="1 mio. €")))
+    assert run() == (0, 0)
+    assert spark.read.text(f"{lake}/index/event_date={day}").count() == 0
+
+
+def test_empty_roster_reuses_the_last_one(spark, tmp_path):
+    lake = str(tmp_path)
+    land(tmp_path, "rosters", "20240101", roster("Jo Ba", "Al Li"))
+    land(tmp_path, "rosters", "20240102", {"get": "players/squads", "response": []})
+    jobs.format_rosters(spark, lake, "20240101")
+    jobs.format_rosters(spark, lake, "20240102")
+    jobs.format_rosters(spark, lake, "20240102")
+    stats = spark.read.parquet(f"{lake}/formatted/stats")
+    assert sorted(r["count"] for r in stats.groupBy("extraction_date").count().collect()) == [2, 2]
+    with pytest.raises(ValueError):
+        jobs.format_rosters(spark, str(tmp_path / "nowhere"), "20240101")
