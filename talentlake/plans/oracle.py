@@ -238,6 +238,12 @@ ORACLE_SQL = {
         present as (select distinct strftime(o_orderdate, '%Y%m%d') as day from orders)
         select as_of, max(day) as chosen_day from asked left join present on day <= as_of
         group by as_of""",
+    "snapshot_read_asof": """with e as (select event_id, strftime(ts, '%Y%m%d') as event_date from events
+          where cast(strftime(ts, '%d') as int) % 3 <> 0),
+        asked(as_of) as (values ('19000101'), ('20240103'), ('20240115'), ('20240118'), ('20991231')),
+        chosen as (select as_of, max(event_date) as event_date from asked join e on event_date <= as_of group by as_of)
+        select as_of, event_date, count(*) as n, sum(event_id)::bigint as ids
+        from chosen join e using (event_date) group by all""",
     "page_assembly": f"""with {PAGES}
         select 'entries' as part, team_name, sum(n)::bigint as n from landed
           where page % 7 <> 0 group by team_name
@@ -350,6 +356,12 @@ ORACLE_SQL = {
         union all select {LINK}, 0.0::double, '0', 'no_match', league_name
         from unmatched where listing = 1""",
     "value_index": f"with {FINAL} select * from final",
+    "bulk_write": f"""with {FINAL}, placed as (
+          select *, row_number() over (partition by player_id order by market_value_eur desc nulls last,
+            match_type, team_name, player_name_api) as place from final)
+        select player_id, player_name_api, team_name, match_type, market_value_eur,
+          (select count(distinct player_id) from final) as indexed, 0::bigint as failed
+        from placed where place = 1""",
     "final_projection": f"with {FINAL} select * from final",
     "top_players": f"""with {FINAL}
         select {LINK}, market_value_eur, value_index, match_type from final

@@ -98,6 +98,26 @@ def snapshot_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.choose_days(present("lineitem", "l_shipdate", "as_of"), ordered)
 
 
+AS_OF_DAYS = ("19000101", "20240103", "20240115", "20240118", "20991231")
+
+
+def snapshot_read_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a lake without every third day of the month shows as of some days: before its first
+    day, in a gap, on a day, and after its last."""
+    events = inputs.daily_events(spark, sf_dir).select("event_id", "value", snapshots.DAY)
+    path = fresh_path(spark, "snapshots")
+    snapshots.write_snapshot(events.where(F.substring(snapshots.DAY, 7, 2).cast("int") % 3 != 0), path)
+    table_ = snapshots.read_snapshots(spark, path, events.schema)
+    parts = [
+        snapshots.read_as_of(table_, as_of).withColumn("as_of", F.lit(as_of)) for as_of in AS_OF_DAYS
+    ]
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("as_of", snapshots.DAY)
+        .agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    )
+
+
 def page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What landed pages amount to, by team: their entries, failures and counts."""
     pages = inputs.order_pages(spark, sf_dir)
@@ -166,6 +186,20 @@ def html_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_rows.table_rows(pages)
 
 
+def bulk_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published documents, one per id, read back from their bulk files, with the counts."""
+    rows = search_documents.one_per_id(_rounded(_final(spark, sf_dir)))
+    path = fresh_path(spark, "bulk")
+    counts = search_documents.write_bulk(search_documents.search_documents(rows), path, RUN_DAY)
+    source = "player_id bigint, player_name_api string, team_name string, match_type string, market_value_eur double"
+    lines = spark.read.text(path).where(~F.startswith("value", F.lit('{"index":')))
+    return lines.select(F.from_json("value", source).alias("source")).select(
+        "source.*",
+        F.lit(counts["indexed"]).cast("bigint").alias("indexed"),
+        F.lit(counts["failed"]).cast("bigint").alias("failed"),
+    )
+
+
 def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of the final table, their JSON source read back field by field."""
     documents = search_documents.search_documents(_final(spark, sf_dir))
@@ -426,12 +460,14 @@ QUERIES = {
         snapshot_write_read,
         multi_date_read,
         snapshot_asof,
+        snapshot_read_asof,
         page_assembly,
         dimension_fallback,
         response_triage,
         html_rows_extract,
         html_table_extract,
         index_documents,
+        bulk_write,
         upsert_latest,
         explode_response,
         nested_paths,
