@@ -26,9 +26,12 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,10 +42,11 @@ from talentlake.llm.shingles import mixed
 SAMPLES = 2
 THETA = 1.0
 SEED = 41
-BATCH = 256  # texts at a time
+BATCH = 1_500_000  # characters of texts at a time; a longer text is a batch of its own
 COMMON = 384  # code points that the trie's array covers
 
 _WORD = re.compile("▁*[^▁]+|▁+")
+RUNGS = 2**36  # steps of a state's ladder
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -105,13 +109,18 @@ class Pieces:
             self.next[node, list(below)] = list(below.values())
         self.piece_at = np.array(pieces, dtype=np.int32)
         spare = [c for c in range(COMMON) if self.next[0, c] < 0 or self.piece_at[self.next[0, c]] < 0]
-        spare = "".join(chr(c) for c in spare if c)
         # Words of these characters only have a piece for every character of theirs.
-        self.common = re.compile(f"[▁\x01-{chr(COMMON - 1)}]*")
-        self.spare = re.compile(f"[{re.escape(spare)}]") if spare else None
-
-    def is_common(self, word: str) -> bool:
-        return bool(self.common.fullmatch(word)) and not (self.spare and self.spare.search(word))
+        self.common = np.zeros(COMMON + 1, dtype=bool)
+        self.common[1:COMMON] = True
+        self.common[spare] = False
+
+    def are_common(self, words: list[str]) -> np.ndarray:
+        if not words:
+            return np.zeros(0, dtype=bool)
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        known = self.common[np.minimum(codes, COMMON)] | (codes == ord("▁"))
+        return np.logical_and.reduceat(known, np.cumsum(lengths) - lengths)
 
     def common_lattices(self, words: list[str]) -> Lattices:
         """All places of all words at once, a piece length at a time."""
@@ -177,12 +186,15 @@ def pieces(path: str, theta: float) -> Pieces:
     return _models[path, theta]
 
 
+def _stirred(seed: np.ndarray, place: np.ndarray | int) -> np.ndarray:
+    return mixed(seed + (np.atleast_1d(place).astype(np.uint64) + np.uint64(1)) * _GOLDEN)
+
+
 def _uniform(seed: np.ndarray, *places: np.ndarray | int) -> np.ndarray:
     """Numbers strictly between 0 and 1 from a seed and the place of their use."""
-    x = seed
     for place in places:
-        x = mixed(x + (np.atleast_1d(place).astype(np.uint64) + np.uint64(1)) * _GOLDEN)
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        seed = _stirred(seed, place)
+    return ((seed >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
 class Batch:
@@ -193,12 +205,13 @@ class Batch:
         counts = np.array([len(ws) for ws in words], dtype=np.int64)
         self.last = np.cumsum(counts)
         self.first = self.last - counts
-        distinct = dict.fromkeys(w for ws in words for w in ws)
-        common = [w for w in distinct if model.is_common(w)]
-        known = set(common)
-        other = [w for w in distinct if w not in known]
-        index = {w: i for i, w in enumerate([*common, *other])}
-        self.word = np.fromiter((index[w] for ws in words for w in ws), dtype=np.int64, count=int(counts.sum()))
+        occurrences = list(chain.from_iterable(words))
+        distinct = list(dict.fromkeys(occurrences))
+        known = model.are_common(distinct).tolist()
+        common = [w for w, is_common in zip(distinct, known) if is_common]
+        other = [w for w, is_common in zip(distinct, known) if not is_common]
+        index = {w: i for i, w in enumerate(chain(common, other))}
+        self.word = np.fromiter(map(index.__getitem__, occurrences), dtype=np.int64, count=len(occurrences))
         lattices = model.common_lattices(common) + model.other_lattices(other)
         sizes = lattices.places + 1  # the last state of a word has no edge
         self.state_of_word = np.concatenate([[0], np.cumsum(sizes)])
@@ -210,13 +223,15 @@ class Batch:
         self.first_edge = np.cumsum(self.edges) - self.edges
         self.source = np.repeat(np.arange(total), self.edges)
         base = np.repeat(self.state_of_word[:-1], sizes)
+        self.rank = np.arange(len(self.source)) - self.first_edge[self.source]
         self.target = lattices.end + base[self.source]
         self.piece, self.spelled = lattices.piece, lattices.spelled
         self.share = self._shares(lattices.weight, np.repeat(self.state_of_word[1:] - 1, sizes))
-        # Ascending over all edges: a state's number plus the cumulated shares inside it.
-        running = np.cumsum(np.exp(self.share))
-        before = np.concatenate([[0.0], running])[self.first_edge[self.source]]
-        self.ladder = self.source + np.minimum(running - before, 1.0)
+        # Ascending over all edges: a state's number, then the cumulated shares inside it. Whole
+        # numbers, so that a row's draws do not depend on what else is in the batch.
+        running = np.cumsum(np.rint(np.exp(self.share) * RUNGS).astype(np.int64))
+        before = np.concatenate([[0], running])[self.first_edge[self.source]]
+        self.ladder = self.source * RUNGS + np.minimum(running - before, RUNGS)
 
     def _shares(self, weight: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Logarithm of each edge's share of all completions, summed from the words' ends."""
@@ -250,25 +265,30 @@ class Batch:
     def descend(self, word: np.ndarray, state: np.ndarray, seed: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Draws a path through each word occurrence from its state on; returns (occurrence,
         edge) in order of occurrence and place."""
-        rows, edges, at = [], [], np.arange(len(word))
+        found = []
+        # Equal words side by side: neighbours then read the same part of the table.
+        at = np.argsort(state, kind="stable")
+        state = state[at]
+        count = np.zeros(len(word), dtype=np.int64)
         step = 0
+        seed = _stirred(seed, place)
         while True:
             going = ~self.final[state]
             at, state = at[going], state[going]
             if not len(at):
                 break
-            u = _uniform(seed[at], place[at], step)
-            edge = np.searchsorted(self.ladder, state + u, side="right")
+            u = _uniform(seed[at], step)
+            edge = np.searchsorted(self.ladder, state * RUNGS + (u * RUNGS).astype(np.int64), side="right")
             edge = np.clip(edge, self.first_edge[state], self.first_edge[state] + self.edges[state] - 1)
-            rows.append(at)
-            edges.append(edge)
+            found.append((at, edge))
             state = self.target[edge]
             step += 1
-        if not rows:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        rows, edges = np.concatenate(rows), np.concatenate(edges)
-        order = np.argsort(rows, kind="stable")
-        return word[rows[order]], edges[order]
+            count[at] = step
+        heads = np.cumsum(count) - count
+        edges = np.empty(int(count.sum()), dtype=np.int64)
+        for step, (at, edge) in enumerate(found):
+            edges[heads[at] + step] = edge
+        return np.repeat(word, count), edges
 
 
 class Search:
@@ -336,7 +356,8 @@ def _beside(batch: Batch, search: Search, words: np.ndarray, edges: np.ndarray,
     if not len(edge):
         return
     mass = gone[step] + batch.share[edge]
-    u = _uniform(np.full(len(edge), seed), 1 + turn, step, edge - batch.first_edge[batch.source[edge]])
+    stirred = _stirred(_stirred(np.array([seed]), 1 + turn), np.arange(kept, len(edges)))
+    u = _uniform(stirred[step - kept], batch.rank[edge])
     drawn = mass - np.log(np.exp(np.minimum(mass - value, 700.0)) - np.log(u))
     best = np.argpartition(-drawn, min(search.keep, len(drawn) - 1))[: search.keep]
     own = len(search.paths) - 1
@@ -354,6 +375,18 @@ def _samples(batch: Batch, search: Search) -> list[tuple[bytes, float, float, fl
     return out
 
 
+def _spans(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of neighbouring texts of up to ``BATCH`` characters together."""
+    start = total = 0
+    for i, length in enumerate(lengths):
+        if i > start and total + length > BATCH:
+            yield start, i
+            start, total = i, 0
+        total += length
+    if lengths:
+        yield start, len(lengths)
+
+
 def encode(
     docs: DataFrame,
     model_path: str,
@@ -369,9 +402,9 @@ def encode(
         owner, rows = [], []
         ids = batch.column("doc_id").to_pylist()
         model = pieces(model_path, theta)
-        for start in range(0, len(ids), BATCH):
-            keys = [xxhash.xxh64_intdigest(repr(i).encode(), seed=SEED) for i in ids[start : start + BATCH]]
-            for i, found in enumerate(sample(model, texts_of(batch.slice(start, BATCH)), keys, k), start):
+        for start, stop in _spans(pa.compute.utf8_length(batch.column("text")).fill_null(0).to_pylist()):
+            keys = [xxhash.xxh64_intdigest(repr(i).encode(), seed=SEED) for i in ids[start:stop]]
+            for i, found in enumerate(sample(model, texts_of(batch.slice(start, stop - start)), keys, k), start):
                 owner += [i] * len(found)
                 rows += [(rank, *s) for rank, s in enumerate(found)]
         columns = list(zip(*rows)) or [()] * 5
