@@ -1,6 +1,6 @@
 """Matching inputs derived from ``documents``: one player, and what is listed of it, per
-document. Spelling, spacing, team and money text vary with ``doc_id``, so that every
-level of the cascade and every money form occurs; all documents take part."""
+three words of the whole texts. Spelling, spacing, team and money text vary with the player's
+number, so that every level of the cascade and every money form occurs; all words take part."""
 
 from __future__ import annotations
 
@@ -24,41 +24,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Numbers of players kept for a document (texts of up to 3,000,000 words).
+PLAYERS_PER_DOCUMENT = 1_000_000
+
+
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three name words per document; letters of the id make the last one selective."""
-    words = F.substring_index(F.replace("text", F.lit("\n"), F.lit(" ")), " ", 3)
-    doc = F.col("doc_id")
+    """Name words, three by three, the last ones of a text perhaps fewer; letters of the
+    player's number make the last one selective, yet common words share them."""
+    person = F.col("doc_id") * PLAYERS_PER_DOCUMENT + F.col("place")
+    # DuckDB's levenshtein counts bytes, hence the two-letter form of the sharp s.
+    spaced = F.regexp_replace(F.replace("text", F.lit("ß"), F.lit("ss")), "[ \n]+", " ")
+    groups = F.regexp_extract_all(spaced, F.lit("[^ ]+(?: [^ ]+){0,2}"), 0)
 
     def word(i: int) -> Column:
-        # DuckDB's levenshtein counts bytes, hence the two-letter form of the sharp s.
-        return F.replace(F.split_part(words, F.lit(" "), F.lit(i)), F.lit("ß"), F.lit("ss"))
+        return F.split_part("words", F.lit(" "), F.lit(i))
 
     def letter(step: int) -> Column:
-        return F.char(F.lit(97) + F.floor(doc / step) % 26)
-
-    return table(spark, sf_dir, "documents").select(
-        "doc_id",
-        "source",
-        "lang",
-        word(1).alias("t1"),
-        word(2).alias("t2"),
-        F.concat(word(3), letter(1), letter(26), letter(676)).alias("t3"),
+        return F.char(F.lit(97) + F.floor(F.col("person_id") / step) % 26)
+
+    return (
+        table(spark, sf_dir, "documents")
+        .select("doc_id", "source", "lang", F.posexplode(groups).alias("place", "words"))
+        .select(person.alias("person_id"), "source", "lang", "words")
+        .select(
+            "person_id",
+            "source",
+            "lang",
+            word(1).alias("t1"),
+            word(2).alias("t2"),
+            F.concat(word(3), letter(1), letter(26), letter(676)).alias("t3"),
+        )
     )
 
 
 def roster_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squad listings: some names abbreviated, some players listed by a second team."""
-    doc = F.col("doc_id")
+    person = F.col("person_id")
     full = F.concat_ws(" ", "t1", F.concat_ws("-", "t2", "t3"))
     short = F.concat(F.left("t1", F.lit(1)), F.lit(". "), F.concat_ws("-", "t2", "t3"))
     own = F.struct(
-        F.when(doc % 4 == 1, short).otherwise(full).alias("player_name_api"),
+        F.when(person % 4 == 1, short).otherwise(full).alias("player_name_api"),
         F.col("source").alias("team_name"),
     )
     loan = F.struct(full.alias("player_name_api"), F.lit("loan").alias("team_name"))
-    listings = F.when((doc % 20).isin(1, 8, 16), F.array(own, loan)).otherwise(F.array(own))
+    listings = F.when((person % 20).isin(1, 8, 16), F.array(own, loan)).otherwise(F.array(own))
     return people(spark, sf_dir).select(
-        doc.alias("player_id"),
+        person.alias("player_id"),
         F.inline(listings),
         F.col("lang").alias("league_name"),
         F.lit(RUN_DAY).alias("extraction_date"),
@@ -66,32 +77,32 @@ def roster_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def values_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market values: names respelled or missing, some listed again with an extra letter."""
-    doc = F.col("doc_id")
+    """Market values: names respelled, some beyond a match, some listed again with an extra letter."""
+    person = F.col("person_id")
     tail = F.concat_ws(" ", "t2", "t3")
     name = (
-        F.when(doc % 3 == 0, F.lit(None))
-        .when(doc % 5 == 1, F.concat_ws(" ", F.substr("t1", F.lit(2)), tail))
-        .when(doc % 5 == 2, F.upper(F.concat_ws(" ", "t1", tail)))
+        F.when(person % 3 == 0, F.concat_ws(" ", F.concat(F.lit("zzqx"), "t1"), tail))
+        .when(person % 5 == 1, F.concat_ws(" ", F.substr("t1", F.lit(2)), tail))
+        .when(person % 5 == 2, F.upper(F.concat_ws(" ", "t1", tail)))
         .otherwise(F.concat(F.lit("  "), "t1", F.lit("  "), tail))
     )
-    amount = (doc % 90 + 1).cast("string")
+    amount = (person % 90 + 1).cast("string")
     raw = (
-        F.when(doc % 7 == 0, "k. A.")
-        .when(doc % 7 == 1, F.concat(amount, F.lit(" K €")))
-        .when(doc % 7 == 2, F.concat(amount, F.lit(","), (doc % 10).cast("string"), F.lit("0 mio. €")))
-        .when(doc % 7 == 3, F.concat(F.lit("€"), amount, F.lit(".5m")))
-        .when(doc % 7 == 4, "-")
-        .when(doc % 7 == 6, F.concat(amount, F.lit(" mille €")))
+        F.when(person % 7 == 0, "k. A.")
+        .when(person % 7 == 1, F.concat(amount, F.lit(" K €")))
+        .when(person % 7 == 2, F.concat(amount, F.lit(","), (person % 10).cast("string"), F.lit("0 mio. €")))
+        .when(person % 7 == 3, F.concat(F.lit("€"), amount, F.lit(".5m")))
+        .when(person % 7 == 4, "-")
+        .when(person % 7 == 6, F.concat(amount, F.lit(" mille €")))
     )
     listed = F.struct(name.alias("player_name"), raw.alias("market_value_raw"))
     again = F.struct(
         F.concat_ws(" ", F.concat("t1", F.lit("x")), tail).alias("player_name"),
         F.lit("2,50 mio. €").alias("market_value_raw"),
     )
-    listings = F.when(doc % 10 == 3, F.array(listed, again)).otherwise(F.array(listed))
+    listings = F.when(person % 10 == 3, F.array(listed, again)).otherwise(F.array(listed))
     return people(spark, sf_dir).select(
-        doc, F.inline(listings), F.lit(SOURCE_URL).alias("scraped_url")
+        person, F.inline(listings), F.lit(SOURCE_URL).alias("scraped_url")
     )
 
 
@@ -129,12 +140,16 @@ def values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_name_keys(landed(spark, sf_dir, values_formatted), "player_name")
 
 
-# Players per landed feed file; bounds what one document gathers, whatever the data size.
+# A landed feed file holds up to 2,000 players of each of 64 documents; that bounds what one
+# file gathers, whatever the data size.
 PLAYERS_PER_FILE = 2000
+DOCUMENTS_PER_FILE = 64
 
 
-def _shard() -> Column:
-    return F.floor(F.col("player_id") / PLAYERS_PER_FILE).cast("int").alias("shard")
+def _shard(person: str = "player_id") -> Column:
+    documents = F.floor(F.col(person) / (DOCUMENTS_PER_FILE * PLAYERS_PER_DOCUMENT))
+    part = F.floor(F.col(person) % PLAYERS_PER_DOCUMENT / PLAYERS_PER_FILE)
+    return (documents * (PLAYERS_PER_DOCUMENT // PLAYERS_PER_FILE) + part).cast("int").alias("shard")
 
 
 def player_stats_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,10 +233,9 @@ def land_values(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw market values as one JSON array per file; returns the files' glob."""
     path = f"{fresh_path(spark, 'market_values')}/{RUN_DAY}"
     row = F.struct("player_name", "market_value_raw", "scraped_url")
-    shard = F.floor(F.col("doc_id") / PLAYERS_PER_FILE).alias("shard")
     (
         values_raw(spark, sf_dir)
-        .groupBy(shard)
+        .groupBy(_shard("person_id"))
         .agg(F.to_json(F.collect_list(row)).alias("value"))
         .write.partitionBy("shard")
         .text(path)

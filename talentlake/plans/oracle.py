@@ -40,23 +40,27 @@ EUR = f"""case when contains({RAW}, 'mio') then {NUMBER} * 1000000.0
     when {NUMBER} is not null then {NUMBER} else 0.0 end"""
 
 
-def _word(i: int) -> str:
-    return f"replace(split_part(replace(text, chr(10), ' '), ' ', {i}), 'ß', 'ss')"
-
-
 def _letter(step: int) -> str:
-    return f"chr(cast(97 + floor(doc_id / {step}) % 26 as int))"
+    return f"chr(cast(97 + floor(person_id / {step}) % 26 as int))"
 
 
-PEOPLE = f"""people as (
-  select doc_id, source, lang, {_word(1)} as t1, {_word(2)} as t2,
-    concat({_word(3)}, {_letter(1)}, {_letter(26)}, {_letter(676)}) as t3
+PEOPLE = f"""texts as (
+  select doc_id, source, lang, regexp_extract_all(
+    regexp_replace(replace(text, 'ß', 'ss'), '[ \\n]+', ' ', 'g'), '[^ ]+(?: [^ ]+){{0,2}}') as word_groups
   from documents
+), placed_words as (
+  select doc_id * 1000000 + unnest(range(len(word_groups))) as person_id, source, lang,
+    unnest(word_groups) as words
+  from texts
+), people as (
+  select person_id, source, lang, split_part(words, ' ', 1) as t1, split_part(words, ' ', 2) as t2,
+    concat(split_part(words, ' ', 3), {_letter(1)}, {_letter(26)}, {_letter(676)}) as t3
+  from placed_words
 )"""
 
 ROSTER_RAW = """roster_listed as (
-  select doc_id as player_id, lang as league_name,
-    case when doc_id % 4 = 1 then concat(substr(t1, 1, 1), '. ', t2, '-', t3)
+  select person_id as player_id, lang as league_name,
+    case when person_id % 4 = 1 then concat(substr(t1, 1, 1), '. ', t2, '-', t3)
       else concat(t1, ' ', t2, '-', t3) end as own_name,
     concat(t1, ' ', t2, '-', t3) as loan_name, source
   from people
@@ -72,27 +76,27 @@ ROSTER_RAW = """roster_listed as (
 )"""
 
 VALUES_RAW = """values_listed as (
-  select doc_id,
-    case when doc_id % 3 = 0 then null
-      when doc_id % 5 = 1 then concat(substr(t1, 2), ' ', t2, ' ', t3)
-      when doc_id % 5 = 2 then upper(concat(t1, ' ', t2, ' ', t3))
+  select person_id,
+    case when person_id % 3 = 0 then concat('zzqx', t1, ' ', t2, ' ', t3)
+      when person_id % 5 = 1 then concat(substr(t1, 2), ' ', t2, ' ', t3)
+      when person_id % 5 = 2 then upper(concat(t1, ' ', t2, ' ', t3))
       else concat('  ', t1, '  ', t2, ' ', t3) end as own_name,
     concat(t1, 'x ', t2, ' ', t3) as again_name,
-    case when doc_id % 7 = 0 then 'k. A.'
-      when doc_id % 7 = 1 then concat(cast(doc_id % 90 + 1 as varchar), ' K €')
-      when doc_id % 7 = 2 then concat(cast(doc_id % 90 + 1 as varchar), ',',
-        cast(doc_id % 10 as varchar), '0 mio. €')
-      when doc_id % 7 = 3 then concat('€', cast(doc_id % 90 + 1 as varchar), '.5m')
-      when doc_id % 7 = 4 then '-'
-      when doc_id % 7 = 6 then concat(cast(doc_id % 90 + 1 as varchar), ' mille €') end as raw
+    case when person_id % 7 = 0 then 'k. A.'
+      when person_id % 7 = 1 then concat(cast(person_id % 90 + 1 as varchar), ' K €')
+      when person_id % 7 = 2 then concat(cast(person_id % 90 + 1 as varchar), ',',
+        cast(person_id % 10 as varchar), '0 mio. €')
+      when person_id % 7 = 3 then concat('€', cast(person_id % 90 + 1 as varchar), '.5m')
+      when person_id % 7 = 4 then '-'
+      when person_id % 7 = 6 then concat(cast(person_id % 90 + 1 as varchar), ' mille €') end as raw
   from people
 ), values_rows as (
-  select doc_id, unnest(case when doc_id % 10 = 3
+  select person_id, unnest(case when person_id % 10 = 3
     then [{'n': own_name, 'r': raw}, {'n': again_name, 'r': '2,50 mio. €'}]
     else [{'n': own_name, 'r': raw}] end) as listing
   from values_listed
 ), values_raw as (
-  select doc_id, listing.n as player_name, listing.r as market_value_raw,
+  select person_id, listing.n as player_name, listing.r as market_value_raw,
     'https://values.example/listing' as scraped_url
   from values_rows
 )"""
@@ -178,9 +182,9 @@ FINAL = f"""{LEVELS}, top as (
 LINK = "player_id, player_name_api, team_name"
 MATCH = f"{LINK}, market_value_eur, market_value_raw, match_type"
 
-# Envelope inputs: files of at most 2000 players, and what each document holds.
+# Envelope inputs: files of up to 2000 players of each of 64 documents, and what each file holds.
 FEED = f"""{PEOPLE}, {ROSTER_RAW}, feed as (
-  select *, cast(floor(player_id / 2000) as int) as shard,
+  select *, cast(floor(player_id / 64000000) * 500 + floor(player_id % 1000000 / 2000) as int) as shard,
     split_part(player_name_api, ' ', 1) as firstname,
     case when player_id % 6 <> 0 then split_part(player_name_api, ' ', -1) end as lastname,
     case when player_id % 11 = 0 then 0 when player_id % 3 = 1 then 2 else 1 end as n_statistics
@@ -310,17 +314,17 @@ ORACLE_SQL = {
     "last_name": f"with {SIDES} select {LINK}, last_name from l",
     "first_initial": f"with {SIDES} select {LINK}, first_initial from l",
     "full_name": f"""with {PEOPLE}
-        select doc_id, concat_ws(' ', t1, case when doc_id % 6 <> 0 then t2 end) as full_name
+        select person_id, concat_ws(' ', t1, case when person_id % 6 <> 0 then t2 end) as full_name
         from people""",
     "number_extract": f"""with {PEOPLE}, {VALUES_RAW}
-        select doc_id, market_value_raw, {NUMBER} as number from values_raw""",
+        select person_id, market_value_raw, {NUMBER} as number from values_raw""",
     "money_parse": f"""with {PEOPLE}, {VALUES_RAW}
-        select doc_id, market_value_raw, {EUR} as market_value_eur from values_raw""",
+        select person_id, market_value_raw, {EUR} as market_value_eur from values_raw""",
     "edit_distance": f"""with {PEOPLE}, {VALUES_RAW}, measured as (
-          select doc_id, player_name,
+          select person_id, player_name,
             levenshtein({_normalized("concat_ws(' ', t1, t2, t3)")},
               {_normalized("player_name")})::int as distance
-          from people join values_raw using (doc_id) where player_name is not null)
+          from people join values_raw using (person_id) where player_name is not null)
         select *, case when distance <= 3 then distance else -1 end as distance_to_3
         from measured""",
     "iso_date": """select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as iso_day,

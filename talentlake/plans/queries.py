@@ -310,33 +310,33 @@ def first_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = F.when(F.col("doc_id") % 6 != 0, F.col("t2"))
+    last = F.when(F.col("person_id") % 6 != 0, F.col("t2"))
     return inputs.people(spark, sf_dir).select(
-        "doc_id", text.full_name(F.col("t1"), last).alias("full_name")
+        "person_id", text.full_name(F.col("t1"), last).alias("full_name")
     )
 
 
 def number_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = money.first_number(F.lower(F.trim("market_value_raw")))
     return inputs.values_raw(spark, sf_dir).select(
-        "doc_id", "market_value_raw", number.alias("number")
+        "person_id", "market_value_raw", number.alias("number")
     )
 
 
 def money_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = money.market_value_eur(F.col("market_value_raw"))
     return inputs.values_raw(spark, sf_dir).select(
-        "doc_id", "market_value_raw", amount.alias("market_value_eur")
+        "person_id", "market_value_raw", amount.alias("market_value_eur")
     )
 
 
 def edit_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance of each document's roster name to the name it is listed under."""
     listed = inputs.values_raw(spark, sf_dir).where("player_name is not null")
-    people = inputs.people(spark, sf_dir).select("doc_id", F.concat_ws(" ", "t1", "t2", "t3").alias("name"))
+    people = inputs.people(spark, sf_dir).select("person_id", F.concat_ws(" ", "t1", "t2", "t3").alias("name"))
     own, other = text.normalize_name(F.col("name")), text.normalize_name(F.col("player_name"))
-    return people.join(listed, "doc_id").select(
-        "doc_id",
+    return people.join(listed, "person_id").select(
+        "person_id",
         "player_name",
         text.edit_distance(own, other).alias("distance"),
         text.edit_distance(own, other, 3).alias("distance_to_3"),
