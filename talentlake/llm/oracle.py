@@ -89,8 +89,98 @@ select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id is
 from e left join n on e.r = n.r left join least on e.r = least.r
 """
 
+TRIE_COLLOCATIONS = r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents),
+pieces as (
+  select r, lang, generate_subscripts(ps, 1) as p, unnest(ps) as piece
+  from (select r, lang, string_split_regex(t, '[.,;:!?\x0A-\x0D]') as ps from d)),
+cut as (select r, lang, p, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from pieces),
+words as (select r, lang, p, generate_subscripts(ws, 1) as i, unnest(ws) as w1 from cut),
+runs as (
+  select lang, w1, lead(w1, 1) over o as w2, lead(w1, 2) over o as w3, lead(w1, 3) over o as w4
+  from words window o as (partition by r, p order by i)),
+f as (
+  select lang, 1 as size, w1 as phrase, count(*) as f from runs group by all
+  union all
+  select lang, 2, w1 || ' ' || w2, count(*) from runs where w2 is not null group by all
+  union all
+  select lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) from runs where w3 is not null group by all
+  union all
+  select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*) from runs where w4 is not null group by all),
+frequent as (select * from f where f >= 30),
+cand as (select lang, size, phrase, f as a, string_split(phrase, ' ') as ws from frequent where size > 1),
+cuts as (
+  select lang, phrase, a, ws, unnest(range(1, size)) as k from cand),
+scored as (
+  select c.lang, c.phrase, c.a, k, l.f as l, r.f as r,
+    (2000000::hugeint * c.a // (l.f + r.f))::bigint as score
+  from cuts c
+  join frequent l on l.lang = c.lang and l.phrase = array_to_string(ws[1 : k], ' ')
+  join frequent r on r.lang = c.lang and r.phrase = array_to_string(ws[k + 1 :], ' ')),
+weakest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inner_ as (
+  select lang, a, array_to_string(ws[s : s + n - 1], ' ') as phrase
+  from cand, (values (1), (2), (3)) starts(s), (values (2), (3)) lens(n)
+  where n < size and s + n - 1 <= size),
+longer as (select lang, phrase, max(a) as longer_a from inner_ group by all),
+totals as (select lang, count(*) as n from words group by lang)
+select w.lang, row_number() over (partition by w.lang order by score desc, w.a desc, w.phrase) as rank,
+  w.phrase, w.a, l, r, n, score
+from weakest w join totals t on t.lang = w.lang left join longer g on g.lang = w.lang and g.phrase = w.phrase
+where longer_a is null or 100 * longer_a < 80 * w.a
+qualify rank <= 2000
+"""
+
+GRAM_SPELLING = r"""
+with recursive tab as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+runs as (
+  select coalesce(doc_id::varchar, '') as id,
+    translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w
+  from documents),
+counted as (select id, w, count(*) as n from runs group by all),
+hashed as (
+  select w, n, xor(list_reduce(
+    list_prepend(4294967295, flatten(list_transform(string_split(id || ':' || w, ''),
+      lambda x: case when unicode(x) < 128 then [unicode(x)::bigint] else [195::bigint, unicode(x)::bigint - 64] end))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h
+  from counted, tab),
+results as (
+  select case when h % 199 = 0 then left(w, (h % length(w))::int) || substr(w, (h % length(w))::int + 2) else w end as word, n
+  from hashed),
+words as (select word, sum(n)::bigint as n from results where length(word) >= 6 group by word having sum(n) >= 5),
+places as (select word, n, unnest(range(1, length(word) + 1)) as p from words),
+shapes as (select word, n, left(word, p - 1) || '*' || substr(word, p + 1) as s, left(word, p - 1) || substr(word, p + 1) as v from places),
+pairs as (
+  select a.word, b.word as near, b.n as near_n from shapes a join shapes b on a.s = b.s and a.word <> b.word
+  union
+  select a.word, b.word, b.n from shapes a join words b on a.v = b.word
+  union
+  select b.word, a.word, a.n from shapes a join words b on a.v = b.word),
+best as (
+  select word, count(*) as n_near, max(near_n) as best_n, first(near order by near_n desc, near) as near
+  from pairs group by word),
+judged as (
+  select w.word, case when best_n >= 5 * w.n then near end as form, w.n,
+    coalesce(n_near, 0)::bigint as n_near, case when best_n >= 5 * w.n then best_n end as form_n
+  from words w left join best b on b.word = w.word),
+chain(word, node) as (
+  select word, word from judged
+  union all
+  select chain.word, j.form from chain join judged j on j.word = chain.node where j.form is not null)
+select j.word, j.form, c.node as root, j.n, j.n_near, j.form_n
+from judged j join chain c on c.word = j.word join judged e on e.word = c.node and e.form is null
+"""
+
 ORACLE_SQL = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_collision_counting": COLLISION_COUNTING,
     "op6_line_frequency": LINE_FREQUENCY,
+    "op11_trie_collocations": TRIE_COLLOCATIONS,
+    "op12_gram_spelling": GRAM_SPELLING,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from talentlake.llm import licences, quality, segmentations, toxicity
 from talentlake.llm.collisions import near_duplicates
+from talentlake.llm.collocations import collocations
 from talentlake.llm.frames import same, table, text_hash
 from talentlake.llm.jaccard import jaccard_join
 from talentlake.llm.labelled import fold
@@ -14,6 +15,7 @@ from talentlake.llm.line_dedup import repeated_lines
 from talentlake.llm.line_frequency import line_frequency
 from talentlake.llm.packing import pack
 from talentlake.llm.secrets import KINDS, secrets
+from talentlake.llm.spelling import variants
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -122,6 +124,14 @@ def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_gram_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_collision_counting": op2_collision_counting,
@@ -133,4 +143,6 @@ QUERIES = {
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_gumbel_segmentations": op9_gumbel_segmentations,
     "op10_ownership_frequency": op10_ownership_frequency,
+    "op11_trie_collocations": op11_trie_collocations,
+    "op12_gram_spelling": op12_gram_spelling,
 }
