@@ -158,7 +158,7 @@ def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-def _in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     position = hashes & np.uint64((1 << BITMAP_BITS) - 1)
     return (bits[position >> np.uint64(3)] >> (position & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
@@ -176,7 +176,7 @@ def phrase_sums(cut: DataFrame, size: int, bitmaps: list[np.ndarray]) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, codes in _each_block(batches):
             keys = _keys(lang, words)
-            fine = _in_bitmap(shared.value[0], keys)
+            fine = in_bitmap(shared.value[0], keys)
             fine[0] = False
             good = fine[codes]
             at = np.flatnonzero(good[:-1] & good[1:])
@@ -189,7 +189,7 @@ def phrase_sums(cut: DataFrame, size: int, bitmaps: list[np.ndarray]) -> DataFra
                 for width in range(2, size):
                     # ``at`` holds the phrases of ``width`` words whose shorter phrases are fine.
                     start = _longer(start, keys[codes[at + width - 1]])
-                    fits = _in_bitmap(shared.value[width - 1], start)
+                    fits = in_bitmap(shared.value[width - 1], start)
                     at, start = at[fits], start[fits]
                     follows = np.zeros(len(codes) + 1, dtype=bool)
                     follows[at] = True

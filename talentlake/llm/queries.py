@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentlake.llm import licences, quality, segmentations, toxicity
+from talentlake.llm import licences, personal, quality, segmentations, toxicity
 from talentlake.llm.collisions import near_duplicates
 from talentlake.llm.collocations import collocations
 from talentlake.llm.frames import same, table, text_hash
@@ -132,6 +132,25 @@ def op12_gram_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents"))
 
 
+def op13_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.array(*map(F.lit, personal.KINDS))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{personal.KINDS[kind]}")
+
+    base = F.filter("spans", lambda s: s["kind"] != personal.CONTEXT)
+    return personal.personal_data(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *map(count, range(personal.CONTEXT)),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        count(personal.CONTEXT),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_collision_counting": op2_collision_counting,
@@ -145,4 +164,5 @@ QUERIES = {
     "op10_ownership_frequency": op10_ownership_frequency,
     "op11_trie_collocations": op11_trie_collocations,
     "op12_gram_spelling": op12_gram_spelling,
+    "op13_bootstrapped_pii": op13_bootstrapped_pii,
 }
