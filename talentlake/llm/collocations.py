@@ -5,15 +5,16 @@ megabytes of text of one language, and one number per word of the text. All late
 these numbers.
 
 * **Candidates.** A phrase can be frequent only if the phrases without its first and without its
-  last word are. A pass per length adds up hashes of the phrases that pass this test, in blocks
-  and then by a shuffle of partial sums. The test reads bitmaps of the hashes of what was frequent
-  so far, whose size is fixed; a hash collision can only add to a sum or let a phrase through, so
-  no frequent phrase is lost.
+  last word are. A pass per length adds up the phrases that pass this test, in each task and then
+  by a shuffle of partial sums. Words are known by 32-bit hashes there, which keeps that shuffle
+  small, and the test reads bitmaps of fixed size of what was frequent so far. A collision can
+  only add to a sum or let a phrase through, so no frequent phrase is lost.
 * **Counts.** Candidates go into double-array tries over fixed-width word codes, at most
   ``TRIE_CANDIDATES`` each, which bounds what is broadcast; more candidates take more tries and
   passes. In each block numpy moves the states of all text positions forward at once, one code
-  digit after the other, and counts the accepting states; the tasks' counts are summed. These are
-  exact: words are compared as text.
+  digit after the other, and counts the accepting states; the tasks' counts are summed as vectors,
+  in two steps, so that no task gets those of all tasks. These are exact: words are compared as
+  text.
 * **Scores.** Counts, scores and the containment rule are joins and aggregates of the candidates.
 
 Null or empty text: no words. Null language: ``und``. Null ids and repeated rows count like any
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +43,10 @@ CONTAINED_PERCENT = 80
 TOP = 2_000
 BLOCK_BYTES = 4_000_000
 BITMAP_BITS = 26  # of the positions in a bitmap: 8 MB
-TRIE_CANDIDATES = 500_000
-PENDING_HITS = 4_000_000
+TRIE_CANDIDATES = 1_000_000
+PENDING = 4_000_000  # pairs, or hits, that a task holds before it adds them up
+CHUNK = 4_096  # counts in one row of a vector
+TASKS_TOGETHER = 256  # whose vectors are summed in the first step
 
 # What ends a piece; the byte that stands for it is never part of UTF-8.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -50,6 +54,8 @@ BREAK = b"\xff"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 255 if b in PIECE_ENDS else b for b in range(256))
 
 _SEED = 42  # of Spark's xxhash64
+_HALF = (1 << 32) - 1
+_FOLD = 29  # by which a hash is shifted onto itself to give its place in a bitmap
 _ROW_BITS = 15  # positions in one row of a bitmap
 NO_LANGUAGE = "und"
 
@@ -137,14 +143,16 @@ def word_counts(cut: DataFrame) -> DataFrame:
 
 
 def _keys(lang: str, words: list[bytes]) -> np.ndarray:
-    """Spark's xxhash64(lang, word) of every word, after a 0 for the end of a piece."""
+    """Low half of Spark's xxhash64(lang, word) of every word, after a 0 for the end of a piece."""
     seed, digest = xxhash.xxh64_intdigest(lang, _SEED), xxhash.xxh64_intdigest
-    return np.array([0, *(digest(word, seed) for word in words)], dtype=np.uint64)
+    return np.array([0, *(digest(word, seed) & _HALF for word in words)], dtype=np.uint64)
 
 
 def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
-    """Which hashes, cut to ``BITMAP_BITS`` bits, occur; its size does not depend on their number."""
-    position = F.col(column).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    """Which places of ``BITMAP_BITS`` bits the hashes fall on; its size does not depend on their
+    number."""
+    value = F.col(column)
+    position = value.bitwiseXOR(F.shiftrightunsigned(value, _FOLD)).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
     rows = (
         hashes.select(position.alias("p"))
         .groupBy(F.shiftright("p", _ROW_BITS).alias("row"))
@@ -159,18 +167,59 @@ def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
 
 
 def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    position = hashes & np.uint64((1 << BITMAP_BITS) - 1)
+    """Whether each hash may be one of the bitmap's."""
+    position = (hashes ^ (hashes >> np.uint64(_FOLD))) & np.uint64((1 << BITMAP_BITS) - 1)
     return (bits[position >> np.uint64(3)] >> (position & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
 def _longer(prefix: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Hash of a phrase and the word after it."""
+    """Hash of a phrase of two words or more and the word after it."""
     return mixed(prefix * np.uint64(0x9E3779B97F4A7C15) + key)
 
 
+def pair_sums(cut: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(prefix, last, hash, n): sums over the pairs of words that may be frequent."""
+    shared = cut.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending, waiting = [], 0
+
+        def flush() -> pa.RecordBatch:
+            pair, n = np.unique(np.concatenate(pending) if pending else np.zeros(0, np.uint64), return_counts=True)
+            pending.clear()
+            return pa.RecordBatch.from_pydict({"pair": pa.array(pair.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+
+        for lang, words, codes in _each_block(batches):
+            keys = _keys(lang, words)
+            fine = in_bitmap(shared.value, keys)
+            fine[0] = False
+            good = fine[codes]
+            at = np.flatnonzero(good[:-1] & good[1:])
+            pending.append((keys[codes[at]] << np.uint64(32)) | keys[codes[at + 1]])
+            waiting += len(at)
+            if waiting >= PENDING:
+                yield flush()
+                waiting = 0
+        yield flush()
+
+    sums = cut.select("lang", "words", "codes").mapInArrow(run, "pair bigint, n bigint")
+    pair = F.col("pair")
+    return (
+        sums.groupBy("pair")
+        .agg(F.sum("n").alias("n"))
+        .select(
+            F.shiftrightunsigned(pair, 32).alias("prefix"),
+            pair.bitwiseAND(F.lit(_HALF)).alias("last"),
+            pair.alias("hash"),
+            "n",
+        )
+    )
+
+
 def phrase_sums(cut: DataFrame, size: int, bitmaps: list[np.ndarray]) -> DataFrame:
-    """(prefix, last, hash, n): sums over the phrases of ``size`` words whose two shorter phrases
-    are in the bitmaps of all shorter sizes; words and phrases are known by their hashes."""
+    """(prefix, last, n): sums over the phrases of ``size`` words, three or more, whose two shorter
+    phrases are in the bitmaps of all shorter sizes; the phrase without its last word, and the
+    last word, are known by their hashes."""
     shared = cut.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,51 +229,60 @@ def phrase_sums(cut: DataFrame, size: int, bitmaps: list[np.ndarray]) -> DataFra
             fine[0] = False
             good = fine[codes]
             at = np.flatnonzero(good[:-1] & good[1:])
-            if size == 2:
-                pair, n = np.unique((codes[at].astype(np.int64) << 32) | codes[at + 1], return_counts=True)
-                prefix, last = keys[pair >> 32], keys[pair & 0xFFFFFFFF]
-                value = _longer(prefix, last)
-            else:
-                start = keys[codes[at]]
-                for width in range(2, size):
-                    # ``at`` holds the phrases of ``width`` words whose shorter phrases are fine.
-                    start = _longer(start, keys[codes[at + width - 1]])
-                    fits = in_bitmap(shared.value[width - 1], start)
-                    at, start = at[fits], start[fits]
-                    follows = np.zeros(len(codes) + 1, dtype=bool)
-                    follows[at] = True
-                    both = follows[at + 1]
-                    at, start = at[both], start[both]
-                value = _longer(start, keys[codes[at + size - 1]])
-                value, first, n = np.unique(value, return_index=True, return_counts=True)
-                prefix, last = start[first], keys[codes[at[first] + size - 1]]
+            start = keys[codes[at]]
+            for width in range(2, size):
+                # ``at`` holds the phrases of ``width`` words whose shorter phrases are fine.
+                after = keys[codes[at + width - 1]]
+                start = (start << np.uint64(32)) | after if width == 2 else _longer(start, after)
+                fits = in_bitmap(shared.value[width - 1], start)
+                at, start = at[fits], start[fits]
+                follows = np.zeros(len(codes) + 1, dtype=bool)
+                follows[at] = True
+                both = follows[at + 1]
+                at, start = at[both], start[both]
+            last = keys[codes[at + size - 1]]
+            _, first, n = np.unique(_longer(start, last), return_index=True, return_counts=True)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "prefix": pa.array(prefix.view(np.int64)),
-                    "last": pa.array(last.view(np.int64)),
-                    "hash": pa.array(value.view(np.int64)),
+                    "prefix": pa.array(start[first].view(np.int64)),
+                    "last": pa.array(last[first].view(np.int64)),
                     "n": pa.array(n.astype(np.int64)),
                 }
             )
 
     return (
         cut.select("lang", "words", "codes")
-        .mapInArrow(run, "prefix bigint, last bigint, hash bigint, n bigint")
+        .mapInArrow(run, "prefix bigint, last bigint, n bigint")
         .groupBy("prefix", "last")
-        .agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
 
 
+def _hashed(sums: DataFrame) -> DataFrame:
+    """Add each phrase's own hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix, last = (batch.column(name).to_numpy().view(np.uint64) for name in ("prefix", "last"))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(_longer(prefix, last).view(np.int64))], names=["prefix", "last", "n", "hash"]
+            )
+
+    return sums.select("prefix", "last", "n").mapInArrow(run, "prefix bigint, last bigint, n bigint, hash bigint")
+
+
 def candidates(cut: DataFrame, frequent: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> DataFrame:
     """(id, lang, size, phrase) of all phrases of 2 to ``max_words`` words that may be frequent."""
-    key = F.xxhash64("lang", "word")
+    key = F.xxhash64("lang", "word").bitwiseAND(F.lit(_HALF))
     by_key = frequent.select("lang", "word", key.alias("key"))
     bitmaps = [bitmap(by_key, "key")]
     shorter = by_key.select("lang", F.col("word").alias("phrase"), F.col("key").alias("hash"))
+    words = by_key.select(F.col("key").alias("last"), "word", F.col("lang").alias("word_lang"))
     found = []
     for size in range(2, max_words + 1):
-        sums = stored(phrase_sums(cut, size, bitmaps).where(F.col("n") >= min_count), "phrase_sums")
-        words = by_key.select(F.col("key").alias("last"), F.col("word"), F.col("lang").alias("word_lang"))
+        sums = pair_sums(cut, bitmaps[0]) if size == 2 else phrase_sums(cut, size, bitmaps)
+        kept = sums.where(F.col("n") >= min_count)
+        sums = stored(kept if size == 2 else _hashed(kept), "phrase_sums")
         spelled = stored(
             sums.join(shorter.withColumnRenamed("hash", "prefix"), "prefix")
             .join(words, "last")
@@ -382,16 +440,31 @@ def trie_counts(cut: DataFrame, phrases: DataFrame, max_words: int, per_trie: in
                 for hits in trie.hits(number[codes], max_words):
                     pending.append(hits)
                     waiting += len(hits)
-                if waiting >= PENDING_HITS:
+                if waiting >= PENDING:
                     total += np.bincount(np.concatenate(pending), minlength=len(total))
                     pending, waiting = [], 0
             if pending:
                 total += np.bincount(np.concatenate(pending), minlength=len(total))
-            seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict({"id": pa.array(ids[seen]), "a": pa.array(total[seen])})
+            starts = range(0, len(total), CHUNK) if total.any() else ()
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "together": pa.array([TaskContext.get().partitionId() // TASKS_TOGETHER] * len(starts), pa.int32()),
+                    "chunk": pa.array(list(starts), pa.int32()),
+                    "counts": pa.array([total[i : i + CHUNK].tobytes() for i in starts], pa.binary()),
+                }
+            )
 
-        sums = read.mapInArrow(run, "id bigint, a bigint").groupBy("id").agg(F.sum("a").alias("a"))
-        counted.append(stored(sums, "trie_counts"))
+        def spelled_out(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids = shared.value[2]
+            for batch in batches:
+                for start, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
+                    a = np.frombuffer(counts, dtype=np.int64)
+                    yield pa.RecordBatch.from_pydict({"id": pa.array(ids[start : start + len(a)]), "a": pa.array(a)})
+
+        vectors = read.mapInArrow(run, "together int, chunk int, counts binary")
+        near = vectors.groupBy("together", "chunk").applyInArrow(_added, "chunk int, counts binary")
+        sums = near.groupBy("chunk").applyInArrow(_added, "chunk int, counts binary")
+        counted.append(stored(sums.mapInArrow(spelled_out, "id bigint, a bigint").where("a > 0"), "trie_counts"))
         shared.destroy()
     out = counted[0]
     for more in counted[1:]:
@@ -399,6 +472,15 @@ def trie_counts(cut: DataFrame, phrases: DataFrame, max_words: int, per_trie: in
     return out
 
 
+def _added(group: pa.Table) -> pa.Table:
+    """Vectors of one chunk as their sum."""
+    rows = group.column("counts").to_pylist()
+    total = np.zeros(len(rows[0]) // 8, dtype=np.int64)
+    for counts in rows:
+        total += np.frombuffer(counts, dtype=np.int64)
+    return pa.table({"chunk": group.column("chunk").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+
 def _score(a: Column, parts: Column) -> Column:
     """floor(SCALE * a / parts), in decimals: the product may pass 64 bits."""
     product = a.cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(9,0)")
