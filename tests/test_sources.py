@@ -1,4 +1,5 @@
 import json
+import shutil
 import subprocess
 import sys
 
@@ -104,10 +105,57 @@ def test_rerun_replaces_its_day_only(spark, tmp_path):
         ("20240103", True, "20240103"),
     ],
 )
-def test_as_of(spark, as_of, allow_later, chosen):
-    table = days_frame(spark, (1, "20240101"), (3, "20240103"), (5, "20240105"))
-    rows = snapshots.read_as_of(table, as_of, allow_later=allow_later).collect()
-    assert [r.event_date for r in rows] == ([chosen] if chosen else [])
+def test_as_of(spark, tmp_path, as_of, allow_later, chosen):
+    path = str(tmp_path / "zone")
+    table = days_frame(spark, (1, "20240101"), (3, "20240103"), (4, "20240104"), (5, "20240105"))
+    snapshots.write_snapshot(table, path)
+    snapshots.replace_day(table.where("false"), path, "20240104")
+
+    def rows(**options):
+        return snapshots.read_as_of(spark, path, table.schema, as_of, allow_later=allow_later, **options)
+
+    assert [r.event_date for r in rows().collect()] == ([chosen] if chosen else [])
+    shutil.rmtree(tmp_path / "zone" / snapshots.LEDGER)  # as other writers leave it
+    assert [r.event_date for r in rows().collect()] == ([chosen] if chosen else [])
+
+
+def test_as_of_opens_the_chosen_day_only(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    table = days_frame(spark, (1, "20240101"), (3, "20240103"))
+    snapshots.write_snapshot(table, path)
+    for file in (tmp_path / "zone" / "event_date=20240101").glob("*.parquet"):
+        file.write_bytes(b"not parquet")
+    rows = snapshots.read_as_of(spark, path, table.schema, "20240104")
+    assert [tuple(r) for r in rows.collect()] == [(3, "20240103")]
+    assert all("event_date=20240103" in file for file in rows.inputFiles())
+
+
+def test_ledger_keeps_the_last_count_of_a_day(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    table = days_frame(spark, (1, "20240101"), (2, "20240102"), (3, "20240102"))
+    snapshots.write_snapshot(table, path)
+    assert snapshots.replace_day(table, path, "20240102", total=F.sum("x")) == {"rows": 2, "total": 5}
+    assert snapshots.replace_day(table.where("false"), path, "20240101") == {"rows": 0}
+    days = snapshots.days_with_rows(spark, path, table.schema)
+    assert [r.day for r in days.collect()] == ["20240102"]
+    assert {tuple(r) for r in snapshots.read_snapshots(spark, path, table.schema).collect()} == {(2, "20240102"), (3, "20240102")}
+    assert spark.read.parquet(path).count() == 2  # the ledger is no part of the dataset
+
+
+@pytest.mark.parametrize("write", ["write_snapshot", "replace_day"])
+def test_a_write_that_dies_leaves_the_old_day(spark, tmp_path, write):
+    path = str(tmp_path / "zone")
+    table = days_frame(spark, (1, "20240101"), (2, "20240102"))
+    snapshots.write_snapshot(table, path)
+    broken = spark.range(1000).select(
+        F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).cast("int").alias("x"),
+        F.lit("20240102").alias("event_date"),
+    )
+    with pytest.raises(Exception, match="lost"):
+        getattr(snapshots, write)(broken, path, *(["20240102"] if write == "replace_day" else []))
+    read = snapshots.read_snapshots(spark, path, table.schema)
+    assert {tuple(r) for r in read.collect()} == {(1, "20240101"), (2, "20240102")}
+    assert [r.x for r in snapshots.read_as_of(spark, path, table.schema, "20240102").collect()] == [2]
 
 
 def test_choose_days(spark):
