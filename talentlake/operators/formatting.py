@@ -28,10 +28,15 @@ def explode_nested(envelopes: DataFrame) -> DataFrame:
 
 def player_stats(envelopes: DataFrame, day: str) -> DataFrame:
     """Player-stats feed: names, and team and league of the first statistics element."""
+    return player_stats_of_entries(explode_response(envelopes), day)
+
+
+def player_stats_of_entries(entries: DataFrame, day: str) -> DataFrame:
+    """``player_stats`` of the entries (column ``entry``) of the envelopes."""
     player = "entry.player"
     # get() gives NULL for an empty array, where [0] raises in ANSI mode.
     first = F.get("entry.statistics", F.lit(0))
-    return explode_response(envelopes).select(
+    return entries.select(
         F.col(f"{player}.id").alias("player_id"),
         F.col(f"{player}.name").alias("player_name_api"),
         F.col(f"{player}.firstname").alias("firstname"),

@@ -27,17 +27,17 @@ def require_response(envelopes: DataFrame) -> DataFrame:
     return envelopes
 
 
-def feed_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+def feed_or_none(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame | None:
     """``read_feed``, or None when nothing landed at ``path``."""
     try:
-        return read_feed(spark, path, schema)
+        return read_feed(spark, path, schema, multi_line)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def feed_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def feed_or_empty(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
     """``read_feed``, or an empty frame of that schema when nothing landed at ``path``."""
-    feed = feed_or_none(spark, path, schema)
+    feed = feed_or_none(spark, path, schema, multi_line)
     return spark.createDataFrame([], schema) if feed is None else feed
