@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,8 +19,35 @@ def fold_accents(text: Column) -> Column:
     return F.translate(text, FOLD_FROM, FOLD_TO)
 
 
-def normalize_name(name: Column) -> Column:
-    """Lower case, fold accents, break on punctuation, collapse white space."""
+# Latin letters that can be written as a letter and a combining mark, those with one mark first,
+# so that a letter with two marks is composed one mark after the other.
+LAST_LATIN = 0x24F
+COMBINING = "[\u0300-\u036f]"
+
+
+def _compositions() -> list[tuple[str, str]]:
+    letters = sorted(map(chr, range(0xC0, LAST_LATIN + 1)), key=lambda c: len(unicodedata.normalize("NFD", c)))
+    parts = {letter: unicodedata.decomposition(letter).split() for letter in letters}
+    return [
+        ("".join(chr(int(code, 16)) for code in codes), letter)
+        for letter, codes in parts.items()
+        if len(codes) == 2 and not codes[0].startswith("<")
+    ]
+
+
+def compose_accents(text: Column) -> Column:
+    """Latin letters followed by combining marks as single letters. Text without marks, nearly
+    all text, is only looked at."""
+    pairs = F.array(*[F.struct(F.lit(a).alias("apart"), F.lit(b).alias("one")) for a, b in _compositions()])
+    composed = F.aggregate(pairs, text, lambda t, pair: F.replace(t, pair["apart"], pair["one"]))
+    return F.when(text.rlike(COMBINING), composed).otherwise(text)
+
+
+def normalize_name(name: Column, compose: bool = False) -> Column:
+    """Lower case, fold accents, break on punctuation, collapse white space. With ``compose``,
+    letters with combining marks become single letters first, so that both spellings fold alike."""
+    if compose:
+        name = compose_accents(name)
     # Folding and breaking touch disjoint characters, so one translate pass does both.
     letters = F.translate(F.lower(F.trim(name)), FOLD_FROM + BREAKS, FOLD_TO + " " * len(BREAKS))
     return F.trim(F.regexp_replace(letters, r"\s+", " "))

@@ -1,3 +1,5 @@
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +74,55 @@ def test_market_value(spark):
     assert column(spark, MONEY, money.market_value_eur) == pytest.approx(list(MONEY.values()))
 
 
+GRAMMAR = {
+    "33,59 mio. €": 33590000.0,
+    " 7 M. ": 7000000.0,
+    "12 mio k": 12000000.0,
+    "k. A.": None,
+    "mio": None,
+    "1,20 mrd. €": 1.2e9,
+    "900 mille €": 900000.0,
+    "€60m": 60000000.0,
+    "60m€": 60000000.0,
+    "500 K €": 500000.0,
+    "1 234 k €": 1234000.0,
+    "-": None,
+    "": None,
+    None: None,
+    "1.200,50 €": 1200.5,
+    "1,234,567.89": 1234567.89,
+    "25 mln": 25000000.0,
+    "1.200": 1200.0,
+    "1.20": 1.2,
+    "CHF 1'234": 1234.0,
+    "1.234 mln": 1234000.0,
+    "1\u00a0234 €": 1234.0,
+    "2.5bn": 2.5e9,
+    "1234567": 1234567.0,
+    "3 Million": 3000000.0,
+    "5 apples": 5.0,
+    "1 € of 2 mio": 1.0,
+    "2 Mio. 3": 2000000.0,
+}
+
+
+def test_market_value_by_grammar(spark):
+    found = column(spark, GRAMMAR, money.market_value_by_grammar)
+    assert found == pytest.approx(list(GRAMMAR.values()))
+
+
+def test_both_spellings_of_accents_compose(spark):
+    letters = "".join(chr(c) for c in range(0xC0, text.LAST_LATIN + 1)) + " plain ø"
+    apart = unicodedata.normalize("NFD", letters)
+    assert apart != letters
+    assert column(spark, [apart, letters, "", None], text.compose_accents) == [letters, letters, "", None]
+    names = [*NAMES, "Zoë ǖ Škoda"]
+    apart = [n and unicodedata.normalize("NFD", n) for n in names]
+    composed = column(spark, apart, lambda c: text.normalize_name(c, compose=True))
+    assert composed == column(spark, names, text.normalize_name)
+    assert column(spark, apart, text.normalize_name) != composed
+
+
 def test_first_number(spark):
     assert column(spark, ["a 3,5 4", "7.25m", "-", None], money.first_number) == [3.5, 7.25, None, None]
 
