@@ -20,10 +20,10 @@ EXACT, INITIAL, FUZZY, NO_MATCH = "exact", "lastname_initial", "fuzzy", "no_matc
 NO_VALUE_RAW = "0"
 
 
-def with_name_keys(df: DataFrame, name: str) -> DataFrame:
+def with_name_keys(df: DataFrame, name: str, compose: bool = False) -> DataFrame:
     """Add the normalized name and the two keys cut from it."""
     normalized = F.col("name_normalized")
-    return df.withColumn("name_normalized", text.normalize_name(F.col(name))).withColumns(
+    return df.withColumn("name_normalized", text.normalize_name(F.col(name), compose)).withColumns(
         {
             "last_name": text.last_name(normalized),
             "first_initial": text.first_initial(normalized),

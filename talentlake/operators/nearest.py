@@ -12,8 +12,11 @@ targets x names comparisons, so there names meet through signatures instead:
 * long ones through *segments* (Pass-Join, Li et al., VLDB 2011): a target cut in k + 1
   segments leaves at least one of them intact, near its old position, under k edits.
 
-The sizes of the blocks are stored first, since they decide which routes a run needs. Every
-route is exact; together they give the same winner as comparing all pairs.
+The sizes of the blocks are stored first, since they decide which routes a run needs and into
+how many partitions the names of crowded blocks are dealt. Signatures are joined by a key of
+their own, which neither side is partitioned by before, so adaptive execution can split one that
+many names share. Every route is exact; together they give the same winner as comparing all
+pairs.
 """
 
 from __future__ import annotations
@@ -34,6 +37,9 @@ BLOCK_LIMIT = 4096
 SLICE_NAMES = 10_000
 # Given parts up to this length use edit patterns (about 1,200 for a text of ten).
 PATTERN_LENGTH = 10
+# Signatures that a partition of crowded names should grow to, and about how many a name has.
+PARTITION_SIGNATURES = 4_000_000
+NAME_SIGNATURES = 1_000
 # Stands for a blanked character; a code point that Unicode never assigns.
 BLANK = "\uffff"
 
@@ -69,14 +75,15 @@ def nearest_names(
     )
     targets = listed.select("last_name", text.given_part(target).alias("v_given"), target, "value")
     blocks = stored(_blocks(left, targets, slice_names), "blocks")
-    probes = left.join(blocks, "last_name")
+    probes = left.join(blocks.drop("names"), "last_name")
 
     big = F.col("targets") > block_limit
     found = [_start(probes), _by_block(probes.where(~big), targets, blocks.where(~big))]
     crowded = blocks.where(big)
-    if not crowded.isEmpty():
+    sizes = crowded.agg(F.sum("names"), F.sum("targets")).first()
+    if sizes[0]:
         crowded_targets = targets.join(crowded.select("last_name"), "last_name")
-        sides = _spread(probes.where(big), "name_normalized"), _spread(crowded_targets, "v_name")
+        sides = _spread(probes.where(big), "name_normalized", sizes[0]), _spread(crowded_targets, "v_name", sizes[1])
         found += [
             _by_patterns(*sides, pattern_length),
             _by_segments(*sides, pattern_length),
@@ -102,16 +109,23 @@ def _blocks(left: DataFrame, targets: DataFrame, slice_names: int) -> DataFrame:
     offered = targets.groupBy("last_name").agg(F.count("*").alias("targets"))
     return looked_up.join(offered, "last_name", "left").select(
         "last_name",
+        "names",
         F.coalesce("targets", F.lit(0).cast("bigint")).alias("targets"),
         F.ceil(F.col("names") / slice_names).alias("slices"),
     )
 
 
-def _spread(names: DataFrame, column: str) -> DataFrame:
-    """Names dealt out evenly. Joined by last name they sit together, and by their bytes
+def _spread(names: DataFrame, column: str, size: int) -> DataFrame:
+    """So many names dealt out evenly. Joined by last name they sit together, and by their bytes
     they would seem too few to split, yet each is about to become hundreds of signatures."""
-    partitions = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return names.repartition(partitions, column)
+    at_least = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(max(at_least, size * NAME_SIGNATURES // PARTITION_SIGNATURES), column)
+
+
+def _signature(*parts: str) -> Column:
+    """One key of several columns. Joined by it, a side that was aggregated by the columns is
+    shuffled again, and only then can a hot signature be split."""
+    return F.concat_ws("\x00", *parts).alias("signature")
 
 
 def _start(probes: DataFrame) -> DataFrame:
@@ -191,13 +205,15 @@ def _by_patterns(probes: DataFrame, targets: DataFrame, pattern_length: int) ->
         .withColumn("pattern", F.explode(edit_patterns(F.col("v_given"))))
         .groupBy("last_name", "pattern")
         .agg(nearest.alias("target"))
+        .select(_signature("last_name", "pattern"), "target")
     )
     # Deletions on both sides are the lengths lost; blanks stand for substitutions.
     cost = F.length("given") + F.col("target.v_length") - 2 * F.length(pattern) + blanks
     return (
         probes.where(F.length("given") <= pattern_length)
         .withColumn("pattern", F.explode(edit_patterns(F.col("given"))))
-        .join(index, ["last_name", "pattern"])
+        .select("name_normalized", "given", "pattern", _signature("last_name", "pattern"))
+        .join(index, "signature")
         .select("name_normalized", cost.alias("distance"), "target.v_name", "target.value")
         .where(F.col("distance") <= MAX_DISTANCE)
     )

@@ -12,11 +12,16 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Without that setting it is a folder of the warehouse, which all executors reach too.
+    Without that setting it is a folder of the warehouse, which all executors must reach too: on
+    a cluster, a warehouse on the driver's disk is an error.
     """
     folder = spark.conf.get(SETTING, None)
     if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        one_machine = spark.sparkContext.master.split("[")[0] == "local"
+        if not one_machine and (warehouse.startswith("file:") or "://" not in warehouse):
+            raise ValueError(f"{SETTING} must name a folder that all executors share")
+        folder = f"{warehouse}/_work"
     return folder.rstrip("/")
 
 
@@ -29,4 +34,15 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a parquet table and read it back: computed once, short lineage."""
     path = fresh_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing reads it any more; other tables are left alone."""
+    for table in tables:
+        path = table.__dict__.get("stored_at")
+        if path:
+            folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

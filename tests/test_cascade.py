@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from reference_cascade import Listing, Value, cascade as literal
 from talentlake.operators import matching, scoring
 from talentlake.operators.cascade import Cascade
+from talentlake.sources import search_documents
+from talentlake.workspace import stored
 
 ROSTER = "player_id bigint, player_name_api string, team_name string, league_name string, extraction_date string"
 VALUES = "player_name string, market_value_eur double, market_value_raw string"
@@ -216,6 +218,46 @@ def test_top_players(spark):
     assert top[0].value_index == 100.0
 
 
+@pytest.mark.parametrize("seed", [1, 2, 7, 8])
+def test_top_of_cascade_is_that_of_all_rows(spark, seed):
+    roster, values = random_case(seed)
+    roster, values = roster + roster[:5], values * 3
+    linked = Cascade(*sides(spark, roster, values))
+    rows = linked.rows().count()
+    expected = scoring.top_players(scoring.score(linked, "20240101"), 10).collect()
+    assert scoring.top_of_cascade(linked, 10).collect() == expected
+    assert scoring.top_of_cascade(linked, 10_000).count() == rows
+
+
+def test_top_of_cascade_expands_few_rows(spark):
+    """Three hundred listings of one name and as many values of it are 90,000 rows; ten roster
+    rows and ten values of each are enough."""
+    roster = [(i, "jo ba", f"t{i}") for i in range(300)] + [(900, "al li", "t")]
+    values = [("jo ba", float(i % 7), str(i)) for i in range(300)] + [("al li", None, None)] * 50 + [("ad li", 9.0, "9")]
+    linked = Cascade(*sides(spark, roster, values))
+    linked.settle()
+    best = scoring.with_value_index(linked.best_rows(), linked.top_value())
+    assert best.count() == 302  # the roster's rows, and level three's winner
+    chosen = stored(best.orderBy(*scoring.ranking()).limit(10).drop("value_index"), "chosen")
+    expanded = linked.rows_of(chosen, 10)
+    assert expanded.count() <= 9 * 10 + 10
+    top = scoring.top_of_cascade(linked, 10).collect()
+    # Al's fifty NULL values reach level two, so he alone has fifty rows of the highest value.
+    assert [(r.player_id, r.value_index) for r in top] == [(900, 100.0)] * 10
+    assert top == scoring.top_players(scoring.score(linked, "d"), 10).collect()
+
+
+@pytest.mark.parametrize("seed", [1, 2, 9])
+def test_published_rows_without_the_fan_out(spark, seed):
+    roster, values = random_case(seed)
+    linked = Cascade(*sides(spark, roster, values * 2))
+    all_rows = scoring.score(linked, "20240101")
+    expected = search_documents.one_per_id(all_rows)
+    found = scoring.best_per_player(linked, "20240101")
+    assert found.columns == all_rows.columns
+    assert Counter(found.collect()) == Counter(expected.collect())
+
+
 def test_single_levels_as_joins(spark):
     roster, values = random_case(6)
     left, right = sides(spark, roster, values)

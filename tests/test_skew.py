@@ -1,10 +1,13 @@
 """A third of the roster under one name: the joins that read stored tables must split it."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from talentlake.operators import matching
 from talentlake.operators.cascade import Cascade
+from talentlake.operators.nearest import nearest_names
 from talentlake.workspace import fresh_path, shared_folder, stored
 
 ROWS = 60_000
@@ -64,8 +67,55 @@ def test_hot_names_are_split(spark, small_thresholds):
     assert "ReusedExchange" in final  # the roster is shuffled by name once
 
 
+def test_a_hot_signature_is_split(spark, small_thresholds):
+    """Three-letter given names are all one pattern of three blanks."""
+    given = F.concat(*[F.char(F.lit(97) + F.floor(F.col("id") / step).cast("int") % 26) for step in (1, 26, 676)])
+    names = stored(
+        spark.range(17_000).select(F.concat(given, F.lit(" hot")).alias("name_normalized")).repartition(8), "names"
+    )
+    values = spark.range(300).select(
+        F.concat(F.lit("0"), F.col("id").cast("string"), F.lit(" hot")).alias("player_name"),
+        F.col("id").cast("double").alias("market_value_eur"),
+        F.lit("r").alias("market_value_raw"),
+    )
+    listed = stored(matching.listed_names(matching.with_name_keys(values, "player_name")), "listed")
+    near = nearest_names(names, listed, block_limit=100)
+    rows = near.collect()
+    assert len(rows) == 17_000 and {r.distance for r in rows} == {3} and {r.v_name for r in rows} == {"00 hot"}
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    assert "SortMergeJoin(skew=true)" in final
+
+
 def test_shared_folder_is_the_session_setting(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder
     paths = {fresh_path(spark, "x") for _ in range(3)}
     assert len(paths) == 3 and all(p.startswith(folder) for p in paths)
+
+
+def test_shared_folder_on_a_cluster_must_be_named():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context
+
+        def __init__(self, **settings):
+            self.conf = {"spark.sql.warehouse.dir": "file:/home/warehouse", **settings}
+
+    with pytest.raises(ValueError):
+        shared_folder(Session())
+    assert shared_folder(Session(**{"spark.sql.warehouse.dir": "hdfs://n/warehouse"})) == "hdfs://n/warehouse/_work"
+    assert shared_folder(Session(**{"spark.checkpoint.dir": "hdfs://n/shared/"})) == "hdfs://n/shared"
+
+
+def test_a_cascade_deletes_its_tables(spark):
+    roster = spark.createDataFrame([(1, "Jo Ba", "t", "l", "d")], "player_id int, player_name_api string, team_name string, league_name string, extraction_date string")
+    values = spark.createDataFrame([("jo ba", 1.0, "1")], "player_name string, market_value_eur double, market_value_raw string")
+    kept = stored(matching.with_name_keys(roster, "player_name_api"), "roster")
+    with Cascade(kept, stored(matching.with_name_keys(values, "player_name"), "values")) as cascade:
+        assert cascade.match_rate().first().match_rate == 100.0
+        paths = [table.stored_at for table in (cascade.listed, cascade.decisions, cascade.nearest, cascade.near)]
+        assert all(Path(path).exists() for path in paths)
+    assert not any(Path(path).exists() for path in paths)
