@@ -41,16 +41,38 @@ def page_summary(pages: DataFrame) -> DataFrame:
     )
 
 
+def page_parts(pages: DataFrame) -> DataFrame:
+    """(part, team_name, n) to be added up: what ``page_entries``, ``page_errors``,
+    ``page_summary`` and ``team_list`` say of the pages, each page read once."""
+    arrived, team = F.col("error").isNull(), F.col("team_name")
+    entries = F.when(arrived, F.coalesce(F.size("response"), F.lit(0))).otherwise(0)
+
+    def part(name: str, of: Column, n: Column) -> Column:
+        return F.struct(F.lit(name).alias("part"), of.alias("team_name"), n.cast("bigint").alias("n"))
+
+    failed = (~arrived).cast("int")
+    counted = F.filter(F.array(part("entries", team, entries), part("errors", team, failed)), lambda p: p["n"] > 0)
+    summary = F.array(
+        part("results", team, entries),
+        part("ok_blocks", team, (entries > 0).cast("int")),
+        part("failed_pages", team, failed),
+    )
+    with_id = F.filter(F.when(arrived, F.col("response")), lambda entry: entry["team"]["id"] != 0)
+    teams = F.transform(with_id, lambda entry: part("with id", _team_label(entry["team"]), F.lit(1)))
+    return pages.select(F.inline(F.concat(counted, summary, F.coalesce(teams, F.slice(summary, 1, 0)))))
+
+
+def _team_label(team: Column) -> Column:
+    return F.coalesce(team["name"], F.concat(F.lit("team_"), team["id"].cast("string")))
+
+
 def team_list(team_envelopes: DataFrame) -> DataFrame:
     """Ids and names of the team list; entries without an id, or with id 0, are skipped, and a
     team without a name is named by its id."""
-    team_id, name = F.col("entry.team.id"), F.col("entry.team.name")
+    team = F.col("entry.team")
     return (
         team_envelopes.select(F.explode("response").alias("entry"))
-        .select(
-            team_id.alias("team_id"),
-            F.coalesce(name, F.concat(F.lit("team_"), team_id.cast("string"))).alias("team_name"),
-        )
+        .select(team["id"].alias("team_id"), _team_label(team).alias("team_name"))
         .where("team_id <> 0")
     )
 
@@ -83,3 +105,38 @@ def triage(responses: DataFrame, status: str = "status", body: str = "body") ->
             "outcome": F.when(retryable, "retry").when(quota, "quota").otherwise("ok"),
         }
     )
+
+
+MAX_ATTEMPTS = 3
+
+
+def last_attempts(responses: DataFrame, day: str = "day", team: str = "team_id", attempt: str = "attempt") -> DataFrame:
+    """Per day and team the triage of its last attempt, ``attempts``, and ``quota`` if any attempt
+    met an exhausted quota. Aggregates only, so a team asked very often is a few rows."""
+    judged = triage(responses)
+    return judged.groupBy(day, team).agg(
+        F.max_by(F.struct("outcome", "body"), attempt).alias("last"),
+        F.count("*").alias("attempts"),
+        F.bool_or("quota").alias("quota"),
+    ).select(day, team, "last.outcome", "last.body", "attempts", "quota")
+
+
+def verdicts(attempts: DataFrame, arrived: Column, day: str = "day", max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """Per day what its responses come to: ``quota`` (reuse the last snapshot), ``retry`` (a team
+    may still be asked again), ``ok`` (some arrived) or ``empty`` (none did). ``arrived`` says
+    whether a team's last response brought anything."""
+    open_ = (F.col("outcome") == "retry") & (F.col("attempts") < max_attempts)
+    found = (F.col("outcome") == "ok") & arrived
+    counts = attempts.groupBy(day).agg(
+        F.count("*").alias("teams"),
+        F.count_if(found).alias("ok_teams"),
+        F.count_if(open_).alias("open_teams"),
+        F.bool_or("quota").alias("quota"),
+    )
+    verdict = (
+        F.when(F.col("quota"), "quota")
+        .when(F.col("open_teams") > 0, "retry")
+        .when(F.col("ok_teams") > 0, "ok")
+        .otherwise("empty")
+    )
+    return counts.withColumn("verdict", verdict)

@@ -4,13 +4,14 @@ number, so that every level of the cascade and every money form occurs; all word
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentlake.functions.days import day_key
+from talentlake.functions.text import FOLD_FROM
 from talentlake.operators import formatting
 from talentlake.operators.matching import with_name_keys
 from talentlake.sources.snapshots import DAY
@@ -29,9 +30,16 @@ PLAYERS_PER_DOCUMENT = 1_000_000
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names found in the documents, landed once."""
+    return landed(spark, sf_dir, people_of_documents)
+
+
+def people_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name words, three by three, the last ones of a text perhaps fewer; letters of the
     player's number make the last one selective, yet common words share them."""
-    person = F.col("doc_id") * PLAYERS_PER_DOCUMENT + F.col("place")
+    too_long = F.raise_error(F.lit("a text has more names than there are numbers for"))
+    place = F.when(F.col("place") < PLAYERS_PER_DOCUMENT, F.col("place")).otherwise(too_long.cast("int"))
+    person = F.col("doc_id") * PLAYERS_PER_DOCUMENT + place
     # DuckDB's levenshtein counts bytes, hence the two-letter form of the sharp s.
     spaced = F.regexp_replace(F.replace("text", F.lit("ß"), F.lit("ss")), "[ \n]+", " ")
     groups = F.regexp_extract_all(spaced, F.lit("[^ ]+(?: [^ ]+){0,2}"), 0)
@@ -110,34 +118,74 @@ def values_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatting.market_values(values_raw(spark, sf_dir), RUN_DAY)
 
 
-# Landed tables of this application, by application, input and name.
-_landed: dict[tuple[str, str, str], str] = {}
+# Where this application landed what it derived, by the state of the table it came from.
+_landed: dict[tuple, str] = {}
+
+
+def _source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Changes when the documents do: their files, bytes and time."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/documents.parquet")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    content = system.getContentSummary(path)
+    changed = system.getFileStatus(path).getModificationTime()
+    return spark.sparkContext.applicationId, sf_dir, content.getFileCount(), content.getLength(), changed
+
+
+def landed_path(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Where ``write`` put what it derives from the documents, which it does once."""
+    key = (*_source_state(spark, sf_dir), name)
+    if key in _landed:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_landed[key])
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return _landed[key]
+    path = fresh_path(spark, name)
+    write(path)
+    _landed[key] = path
+    return path
 
 
 def landed(
     spark: SparkSession, sf_dir: str, derive: Callable[[SparkSession, str], DataFrame]
 ) -> DataFrame:
     """``derive``'s table as the lake's formatted zone holds it: written once, then read."""
-    key = (spark.sparkContext.applicationId, sf_dir, derive.__name__)
-    if key in _landed:
-        try:
-            return spark.read.parquet(_landed[key])
-        except AnalysisException:  # the folder was cleared meanwhile
-            pass
-    path, derived = fresh_path(spark, derive.__name__), derive(spark, sf_dir)
-    derived.write.parquet(path)
-    _landed[key] = path
+    derived = derive(spark, sf_dir)
+    path = landed_path(spark, sf_dir, derive.__name__, lambda to: derived.write.parquet(to))
     return spark.read.schema(derived.schema).parquet(path)
 
 
+def roster_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_name_keys(roster_raw(spark, sf_dir), "player_name_api")
+
+
+def values_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_name_keys(values_formatted(spark, sf_dir), "player_name")
+
+
 def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roster side of the cascade, with its name keys."""
-    return with_name_keys(landed(spark, sf_dir, roster_raw), "player_name_api")
+    return landed(spark, sf_dir, roster_keyed)
 
 
 def values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values side of the cascade, with its name keys."""
-    return with_name_keys(landed(spark, sf_dir, values_formatted), "player_name")
+    return landed(spark, sf_dir, values_keyed)
+
+
+def _letters(number: Column) -> Column:
+    return F.translate(number.cast("string"), "0123456789", "abcdefghij")
+
+
+def crowded_names(spark: SparkSession, sf_dir: str, factor: int, start: int) -> DataFrame:
+    """Two names of every customer under a market segment, of which there are few: a short one,
+    letters of the key times ``factor``, and a long one, a code from place ``start`` on."""
+    short = _letters(F.col("c_custkey") * factor)
+    code = F.translate(F.substring(F.md5(F.col("c_name").cast("binary")), start, 14), "0123456789", "ghijklmnop")
+    return table(spark, sf_dir, "customer").select(
+        F.explode(F.array(short, code)).alias("given"),
+        F.lower("c_mktsegment").alias("family"),
+        F.col("c_acctbal").alias("market_value_eur"),
+        F.col("c_name").alias("market_value_raw"),
+    ).withColumn("player_name", F.concat_ws(" ", "given", "family"))
 
 
 # A landed feed file holds up to 2,000 players of each of 64 documents; that bounds what one
@@ -222,25 +270,41 @@ def roster_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_envelopes(envelopes: DataFrame, name: str) -> str:
+def stats_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The player-stats envelopes as landed."""
+    return landed(spark, sf_dir, player_stats_envelopes)
+
+
+def roster_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roster envelopes as landed."""
+    return landed(spark, sf_dir, roster_envelopes)
+
+
+def land_envelopes(
+    spark: SparkSession, sf_dir: str, envelopes: Callable[[SparkSession, str], DataFrame]
+) -> str:
     """Write one JSON object per file; returns the glob of the day's files."""
-    path = f"{fresh_path(envelopes.sparkSession, name)}/{RUN_DAY}"
-    envelopes.write.partitionBy("shard").json(path)
-    return f"{path}/*/*.json"
+
+    def write(path: str) -> None:
+        envelopes(spark, sf_dir).write.partitionBy("shard").json(f"{path}/{RUN_DAY}")
+
+    return f"{landed_path(spark, sf_dir, f"{envelopes.__name__}_json", write)}/{RUN_DAY}/*/*.json"
 
 
 def land_values(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw market values as one JSON array per file; returns the files' glob."""
-    path = f"{fresh_path(spark, 'market_values')}/{RUN_DAY}"
     row = F.struct("player_name", "market_value_raw", "scraped_url")
-    (
-        values_raw(spark, sf_dir)
-        .groupBy(_shard("person_id"))
-        .agg(F.to_json(F.collect_list(row)).alias("value"))
-        .write.partitionBy("shard")
-        .text(path)
-    )
-    return f"{path}/*/*.txt"
+
+    def write(path: str) -> None:
+        (
+            values_raw(spark, sf_dir)
+            .groupBy(_shard("person_id"))
+            .agg(F.to_json(F.collect_list(row)).alias("value"))
+            .write.partitionBy("shard")
+            .text(f"{path}/{RUN_DAY}")
+        )
+
+    return f"{landed_path(spark, sf_dir, 'market_values', write)}/{RUN_DAY}/*/*.txt"
 
 
 def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,6 +331,48 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def money_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order prices spelled in seven ways, by the order's number."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    whole, f = F.floor(cents / 100), F.lpad((cents % 100).cast("string"), 2, "0")
+    a, b = F.floor(whole / 1000).cast("string"), F.lpad((whole % 1000).cast("string"), 3, "0")
+    styles = [
+        F.concat(a, F.lit("."), b, F.lit(","), f, F.lit(" €")),
+        F.concat(F.lit("EUR "), a, F.lit(","), b, F.lit("."), f),
+        F.concat(a, F.lit(" "), b, F.lit(" K")),
+        F.concat(a, F.lit(","), F.right(b, F.lit(1)), F.lit(" Mrd. €")),
+        F.concat(a, F.lit("."), b, F.lit(" mln")),
+        F.concat(a, F.lit("\u00a0"), b, F.lit(" €")),
+        F.concat(F.lit("CHF "), a, F.lit("'"), b),
+    ]
+    style = F.get(F.array(*styles), (F.col("o_orderkey") % len(styles)).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", style.alias("raw"))
+
+
+def decomposed(letters: Column) -> Column:
+    """Text whose folding letters are written as a letter and a combining mark."""
+    apart = [(c, unicodedata.normalize("NFD", c)) for c in FOLD_FROM]
+    pairs = F.array(*[F.struct(F.lit(one).alias("one"), F.lit(two).alias("apart")) for one, two in apart])
+    return F.aggregate(pairs, letters, lambda t, pair: F.replace(t, pair["one"], pair["apart"]))
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as landed responses: a user's events of a day are the attempts for one team."""
+    status = F.element_at(
+        F.array(*[F.lit(s) for s in (200, 429, 500, 404, 200, 502, 503, 504)]),
+        (F.col("event_id") % 8 + 1).cast("int"),
+    )
+    message = F.when((F.col("event_type") == "error") & (F.col("user_id") % 7 == 0), "Request limit").otherwise("")
+    body = F.to_json(F.struct(F.struct(message.alias("requests")).alias("errors")))
+    return table(spark, sf_dir, "events").select(
+        day_key(F.col("ts")).alias("day"),
+        F.col("user_id").alias("team_id"),
+        F.col("event_id").alias("attempt"),
+        status.alias("status"),
+        body.alias("body"),
+    )
+
+
 def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the snapshot day they belong to."""
     return table(spark, sf_dir, "events").withColumn(DAY, day_key(F.col("ts")))

@@ -272,6 +272,22 @@ ORACLE_SQL = {
         select event_id, status, retryable, quota,
           case when retryable then 'retry' when quota then 'quota' else 'ok' end as outcome
         from judged""",
+    "response_verdict": """with landed as (
+          select strftime(ts, '%Y%m%d') as day, user_id as team_id, event_id as attempt,
+            [200, 429, 500, 404, 200, 502, 503, 504][event_id % 8 + 1] in (429, 500, 502, 503, 504) as retryable,
+            event_type = 'error' and user_id % 7 = 0 as quota
+          from events
+        ), attempts as (
+          select day, team_id, count(*) as n, bool_or(quota) as quota,
+            arg_max(case when retryable then 'retry' when quota then 'quota' else 'ok' end, attempt) as outcome
+          from landed group by day, team_id
+        ), counts as (
+          select day, count(*) as teams, count(*) filter (outcome = 'ok' and team_id % 2 = 0) as ok_teams,
+            count(*) filter (outcome = 'retry' and n < 3) as open_teams, bool_or(quota) as quota
+          from attempts group by day)
+        select *, case when quota then 'quota' when open_teams > 0 then 'retry'
+          when ok_teams > 0 then 'ok' else 'empty' end as verdict
+        from counts""",
     "html_rows_extract": f"""with {ITEMS}
         select page_id, position, text, href from links where text <> '' and href <> ''""",
     "html_table_extract": f"""with {ITEMS}
@@ -305,6 +321,12 @@ ORACLE_SQL = {
           case when n_statistics > 0 then team_name end as team_name,
           case when n_statistics > 0 then league_name end as league_name, extraction_date
         from feed""",
+    "large_feed_scan": f"""with {FEED}
+        select player_id, player_name_api, firstname, lastname,
+          concat_ws(' ', firstname, lastname) as player_name_full_api,
+          case when n_statistics > 0 then team_name end as team_name,
+          case when n_statistics > 0 then league_name end as league_name, extraction_date
+        from feed""",
     "format_roster": f"""with {SQUADS}
         select {LINK}, 'Ligue 1' as league_name, '20240101' as extraction_date
         from squads where player_name_api is not null""",
@@ -320,6 +342,24 @@ ORACLE_SQL = {
         select person_id, market_value_raw, {NUMBER} as number from values_raw""",
     "money_parse": f"""with {PEOPLE}, {VALUES_RAW}
         select person_id, market_value_raw, {EUR} as market_value_eur from values_raw""",
+    "money_grammar": f"""with cents as (
+          select o_orderkey, round(o_totalprice * 100)::bigint as c from orders
+        ), parts as (
+          select o_orderkey, c, c // 100 as whole, (c // 100000)::varchar as a,
+            lpad((c // 100 % 1000)::varchar, 3, '0') as b, lpad((c % 100)::varchar, 2, '0') as f
+          from cents
+        ), spelled as (
+          select o_orderkey, c, whole, [
+            a || '.' || b || ',' || f || ' €', 'EUR ' || a || ',' || b || '.' || f, a || ' ' || b || ' K',
+            a || ',' || right(b, 1) || ' Mrd. €', a || '.' || b || ' mln',
+            a || chr(160) || b || ' €', 'CHF ' || a || '''' || b][o_orderkey % 7 + 1] as market_value_raw
+          from parts)
+        select o_orderkey, market_value_raw as raw, {EUR} as by_table,
+          round(case o_orderkey % 7 when 0 then c / 100.0 when 1 then c / 100.0 when 2 then whole * 1e3
+            when 3 then (whole // 1000 + whole % 10 / 10.0) * 1e9 when 4 then whole * 1e3
+            else whole end, 2)::double as by_grammar
+        from spelled""",
+    "name_compose": f"""with {SIDES} select {LINK}, name_normalized from l""",
     "edit_distance": f"""with {PEOPLE}, {VALUES_RAW}, measured as (
           select person_id, player_name,
             levenshtein({_normalized("concat_ws(' ', t1, t2, t3)")},
@@ -345,6 +385,28 @@ ORACLE_SQL = {
           select *, row_number() over ({BEST_ORDER}) as candidate_rank from candidates)
         select {LINK}, v_name, distance::int as distance, {VALUE}
         from ranked where candidate_rank = 1 and distance <= 3""",
+    "crowded_names": """with names as (
+          select distinct lower(c_mktsegment) as family, unnest([
+            translate((c_custkey * 7)::varchar, '0123456789', 'abcdefghij'),
+            translate(substr(md5(c_name), 1, 14), '0123456789', 'ghijklmnop')]) as given
+          from customer
+        ), targets as (
+          select lower(c_mktsegment) as family, c_acctbal, c_name, unnest([
+            translate((c_custkey * 10)::varchar, '0123456789', 'abcdefghij'),
+            translate(substr(md5(c_name), 2, 14), '0123456789', 'ghijklmnop')]) as given
+          from customer
+        ), pairs as (
+          select n.family, n.given, t.given as v_given, c_acctbal, c_name, levenshtein(n.given, t.given) as distance
+          from names n join targets t on n.family = t.family
+        ), ranked as (
+          select *, row_number() over (partition by family, given
+            order by distance, v_given, c_acctbal desc nulls last, c_name) as place
+          from pairs)
+        select concat(given, ' ', family) as name_normalized, least(distance, 4)::int as distance,
+          case when distance <= 3 then concat(v_given, ' ', family) end as v_name,
+          case when distance <= 3 then c_acctbal end as market_value_eur,
+          case when distance <= 3 then c_name end as market_value_raw
+        from ranked where place = 1""",
     "fuzzy_match": f"""with {LEVELS}
         select {LINK}, {VALUE}, 'fuzzy' as match_type, v_name, distance::int as distance
         from best where market_value_eur is not null""",

@@ -14,7 +14,7 @@ from talentlake.operators.cascade import Cascade
 from talentlake.operators.nearest import nearest_names
 from talentlake.plans import inputs
 from talentlake.plans.inputs import RUN_DAY, table
-from talentlake.sources import feeds, html_rows, search_documents, snapshots
+from talentlake.sources import feeds, html_rows, large_feeds, search_documents, snapshots
 from talentlake.workspace import fresh_path, stored
 
 LINK = ["player_id", "player_name_api", "team_name"]
@@ -33,7 +33,7 @@ def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_envelope_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = inputs.land_envelopes(inputs.player_stats_envelopes(spark, sf_dir), "players_stats")
+    path = inputs.land_envelopes(spark, sf_dir, inputs.player_stats_envelopes)
     envelopes = feeds.read_feed(spark, path, schemas.PLAYER_STATS_ENVELOPE)
     return envelopes.select(
         "get",
@@ -60,7 +60,7 @@ def empty_source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelope_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    envelopes = feeds.require_response(inputs.player_stats_envelopes(spark, sf_dir))
+    envelopes = feeds.require_response(inputs.stats_feed(spark, sf_dir))
     return envelopes.select("shard", "results")
 
 
@@ -107,9 +107,8 @@ def snapshot_read_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.daily_events(spark, sf_dir).select("event_id", "value", snapshots.DAY)
     path = fresh_path(spark, "snapshots")
     snapshots.write_snapshot(events.where(F.substring(snapshots.DAY, 7, 2).cast("int") % 3 != 0), path)
-    table_ = snapshots.read_snapshots(spark, path, events.schema)
     parts = [
-        snapshots.read_as_of(table_, as_of).withColumn("as_of", F.lit(as_of)) for as_of in AS_OF_DAYS
+        snapshots.read_as_of(spark, path, events.schema, as_of).withColumn("as_of", F.lit(as_of)) for as_of in AS_OF_DAYS
     ]
     return (
         reduce(DataFrame.unionByName, parts)
@@ -119,22 +118,10 @@ def snapshot_read_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What landed pages amount to, by team: their entries, failures and counts."""
-    pages = inputs.order_pages(spark, sf_dir)
-    counted = {
-        "entries": assembly.page_entries(pages),
-        "errors": assembly.page_errors(pages),
-        # As a team list, the entries stand for teams that are named by the order status.
-        "with id": assembly.team_list(pages.where("error is null")),
-    }
-    parts = [
-        rows.groupBy(F.lit(part).alias("part"), "team_name").agg(F.count("*").alias("n"))
-        for part, rows in counted.items()
-    ]
-    summary = assembly.page_summary(pages).unpivot(
-        "team_name", ["results", "ok_blocks", "failed_pages"], "part", "n"
-    )
-    return reduce(DataFrame.unionByName, [*parts, summary])
+    """What landed pages amount to, by team: their entries, failures and counts. As a team list,
+    the entries stand for teams that are named by the order status."""
+    parts = assembly.page_parts(inputs.order_pages(spark, sf_dir))
+    return parts.groupBy("part", "team_name").agg(F.sum("n").alias("n"))
 
 
 def dimension_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +154,12 @@ def response_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly.triage(landed).drop("body")
 
 
+def response_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the responses of every day come to."""
+    last = assembly.last_attempts(inputs.attempts(spark, sf_dir))
+    return assembly.verdicts(last, F.col("team_id") % 2 == 0)
+
+
 def html_rows_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
     return html_rows.link_items(pages)
@@ -188,7 +181,7 @@ def html_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bulk_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published documents, one per id, read back from their bulk files, with the counts."""
-    rows = search_documents.one_per_id(_rounded(_final(spark, sf_dir)))
+    rows = _rounded(scoring.best_per_player(_cascade(spark, sf_dir), RUN_DAY))
     path = fresh_path(spark, "bulk")
     counts = search_documents.write_bulk(search_documents.search_documents(rows), path, RUN_DAY)
     source = "player_id bigint, player_name_api string, team_name string, match_type string, market_value_eur double"
@@ -228,7 +221,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explode_response(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = formatting.explode_response(inputs.player_stats_envelopes(spark, sf_dir))
+    entries = formatting.explode_response(inputs.stats_feed(spark, sf_dir))
     return entries.select(
         F.col("entry.player.id").alias("player_id"),
         F.col("entry.player.name").alias("player_name_api"),
@@ -237,7 +230,7 @@ def explode_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = formatting.explode_response(inputs.player_stats_envelopes(spark, sf_dir))
+    entries = formatting.explode_response(inputs.stats_feed(spark, sf_dir))
     return entries.select(
         F.col("entry.player.id").alias("player_id"),
         F.col("entry.player.firstname").alias("firstname"),
@@ -247,12 +240,12 @@ def nested_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_element(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = formatting.player_stats(inputs.player_stats_envelopes(spark, sf_dir), RUN_DAY)
+    stats = formatting.player_stats(inputs.stats_feed(spark, sf_dir), RUN_DAY)
     return stats.select("player_id", "team_name", "league_name")
 
 
 def explode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    players = formatting.explode_nested(inputs.roster_envelopes(spark, sf_dir))
+    players = formatting.explode_nested(inputs.roster_feed(spark, sf_dir))
     return players.select(
         "team_id",
         "team_name",
@@ -262,18 +255,25 @@ def explode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dropna_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    formatted = formatting.rosters(inputs.roster_envelopes(spark, sf_dir), RUN_DAY)
+    formatted = formatting.rosters(inputs.roster_feed(spark, sf_dir), RUN_DAY)
     return formatted.select(*LINK)
 
 
 def format_player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = inputs.land_envelopes(inputs.player_stats_envelopes(spark, sf_dir), "players_stats")
+    path = inputs.land_envelopes(spark, sf_dir, inputs.player_stats_envelopes)
     envelopes = feeds.read_feed(spark, path, schemas.PLAYER_STATS_ENVELOPE)
     return formatting.player_stats(feeds.require_response(envelopes), RUN_DAY)
 
 
+def large_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The player-stats files read element by element."""
+    path = inputs.land_envelopes(spark, sf_dir, inputs.player_stats_envelopes)
+    entries = large_feeds.read_entries(spark, path, schemas.PLAYER_STATS_ENTRY)
+    return formatting.player_stats_of_entries(entries, RUN_DAY)
+
+
 def format_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = inputs.land_envelopes(inputs.roster_envelopes(spark, sf_dir), "players_squads")
+    path = inputs.land_envelopes(spark, sf_dir, inputs.roster_envelopes)
     return formatting.rosters(feeds.read_feed(spark, path, schemas.ROSTER_ENVELOPE), RUN_DAY)
 
 
@@ -330,6 +330,23 @@ def money_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def money_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts in the wider grammar, beside the default table's."""
+    raw = F.col("raw")
+    return inputs.money_texts(spark, sf_dir).select(
+        "o_orderkey",
+        "raw",
+        F.round(money.market_value_by_grammar(raw), 2).alias("by_grammar"),
+        money.market_value_eur(raw).alias("by_table"),
+    )
+
+
+def name_compose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names written with combining marks, normalized as their composed forms."""
+    apart = inputs.decomposed(F.lower("player_name_api"))
+    return _roster_text(spark, sf_dir, name_normalized=text.normalize_name(apart, compose=True))
+
+
 def edit_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance of each document's roster name to the name it is listed under."""
     listed = inputs.values_raw(spark, sf_dir).where("player_name is not null")
@@ -397,6 +414,19 @@ def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select(*LINK, "v_name", "distance", "market_value_eur", "market_value_raw")
 
 
+CROWDED_LIMIT = 256
+
+
+def crowded_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest names under few last names, each of which has too many to compare them all."""
+    names = matching.with_name_keys(inputs.crowded_names(spark, sf_dir, 7, 1), "player_name")
+    listed = matching.listed_names(
+        matching.with_name_keys(inputs.crowded_names(spark, sf_dir, 10, 2), "player_name")
+    )
+    distinct = stored(names.select("name_normalized").distinct(), "names")
+    return nearest_names(distinct, stored(listed, "listed"), CROWDED_LIMIT)
+
+
 def fuzzy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = _cascade(spark, sf_dir).near
     return near.where(F.col("match_type") == matching.FUZZY).select(*MATCH, "v_name", "distance")
@@ -431,7 +461,7 @@ def final_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(scoring.top_players(_final(spark, sf_dir)))
+    return _rounded(scoring.top_of_cascade(_cascade(spark, sf_dir)))
 
 
 def match_type_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,6 +494,7 @@ QUERIES = {
         page_assembly,
         dimension_fallback,
         response_triage,
+        response_verdict,
         html_rows_extract,
         html_table_extract,
         index_documents,
@@ -475,6 +506,7 @@ QUERIES = {
         explode_nested,
         dropna_subset,
         format_player_stats,
+        large_feed_scan,
         format_roster,
         format_values,
         name_normalize,
@@ -484,12 +516,15 @@ QUERIES = {
         full_name,
         number_extract,
         money_parse,
+        money_grammar,
+        name_compose,
         edit_distance,
         iso_date,
         exact_match,
         residual_split,
         lastname_initial_match,
         best_candidate,
+        crowded_names,
         fuzzy_match,
         cascade_union,
         match_cascade,

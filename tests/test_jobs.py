@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from talentlake import schemas
 from talentlake.plans import jobs
 
 
@@ -64,6 +65,18 @@ def test_rerun_keeping_unmatched_replaces_its_day(spark, lake):
     jobs.combine(spark, lake, "20240102")
 
 
+def test_combine_counts_what_it_writes(spark, lake):
+    cascade = jobs.combine(spark, lake, "20240101")
+    assert cascade.written == {"rows": 2, "exact": 1, "lastname_initial": 1, "fuzzy": 0, "no_match": 0}
+    assert cascade.name_totals["exact_rows"] == 1 and cascade.near_totals["fuzzy_rows"] == 0
+
+
+def test_published_rows_are_one_per_player(spark, lake):
+    published = spark.read.parquet(f"{lake}/{jobs.PUBLISHED}").where("event_time = '20240101'")
+    rows = [(r.player_id, r.match_type, r.value_index) for r in published.orderBy("player_id").collect()]
+    assert rows == [(1, "lastname_initial", 100.0), (2, "exact", 25.0)]
+
+
 def test_publish(spark, lake):
     assert jobs.publish(spark, lake, "20240101") == {"indexed": 2, "failed": 0}
     bulk = spark.read.text(f"{lake}/index/event_date=20240101").collect()
@@ -113,3 +126,58 @@ def test_empty_roster_reuses_the_last_one(spark, tmp_path):
     assert sorted(r["count"] for r in stats.groupBy("extraction_date").count().collect()) == [2, 2]
     with pytest.raises(ValueError):
         jobs.format_rosters(spark, str(tmp_path / "nowhere"), "20240101")
+
+
+def respond(lake, day, *responses):
+    folder = lake / "raw" / "roster_responses" / day
+    folder.mkdir(parents=True, exist_ok=True)
+    lines = [
+        json.dumps({"team_id": team, "attempt": attempt, "status": status, "body": body and json.dumps(body)})
+        for team, attempt, status, body in responses
+    ]
+    (folder / f"{len(list(folder.iterdir()))}.json").write_text("\n".join(lines))
+
+
+def names_of(spark, lake, day):
+    stats = spark.read.schema(schemas.STATS_FORMATTED).parquet(f"{lake}/formatted/stats")
+    return sorted(r.player_name_api for r in stats.where(f"extraction_date = '{day}'").collect())
+
+
+QUOTA = {"errors": {"requests": "You have reached the request limit for the day"}}
+
+
+def test_roster_follows_the_verdict_of_its_responses(spark, tmp_path):
+    lake = str(tmp_path)
+    respond(tmp_path, "20240101", (7, 1, 503, None), (7, 2, 200, roster("Jo Ba", "Al Li")), (8, 1, 404, {"response": []}))
+    assert jobs.format_roster_responses(spark, lake, "20240101") == "ok"
+    assert names_of(spark, lake, "20240101") == ["Al Li", "Jo Ba"]
+
+    # A quota, even after a team that arrived, means the last roster.
+    respond(tmp_path, "20240102", (7, 1, 200, roster("New One")), (8, 1, 200, QUOTA))
+    assert jobs.format_roster_responses(spark, lake, "20240102") == "quota"
+    assert names_of(spark, lake, "20240102") == ["Al Li", "Jo Ba"]
+
+    # A response that may still come does not; later it is there, or all attempts are spent.
+    respond(tmp_path, "20240103", (7, 1, 200, roster("New One")), (8, 1, 429, None))
+    assert jobs.format_roster_responses(spark, lake, "20240103") == "retry"
+    assert names_of(spark, lake, "20240103") == []
+    respond(tmp_path, "20240103", (8, 2, 500, None), (8, 3, 502, None))
+    assert jobs.format_roster_responses(spark, lake, "20240103") == "ok"
+    assert names_of(spark, lake, "20240103") == ["New One"]
+
+    # Nothing arrived in all attempts, or nothing landed at all.
+    respond(tmp_path, "20240104", *[(7, i, 503, None) for i in (1, 2, 3)])
+    assert jobs.format_roster_responses(spark, lake, "20240104") == "empty"
+    assert jobs.format_roster_responses(spark, lake, "20240105") == "empty"
+    assert names_of(spark, lake, "20240104") == names_of(spark, lake, "20240105") == ["New One"]
+
+    state = spark.read.parquet(f"{lake}/{jobs.STATE}").orderBy("extraction_date").collect()
+    assert [(str(r.extraction_date), r.verdict, r.ok_teams) for r in state] == [
+        ("20240101", "ok", 1), ("20240102", "quota", 1), ("20240103", "ok", 1), ("20240104", "empty", 0)
+    ]
+
+
+def test_quota_without_any_roster_fails(spark, tmp_path):
+    respond(tmp_path, "20240101", (7, 1, 200, QUOTA))
+    with pytest.raises(ValueError):
+        jobs.format_roster_responses(spark, str(tmp_path), "20240101")

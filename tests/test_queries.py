@@ -1,10 +1,14 @@
 """Every registered query against its SQL, and the plans that matter at scale."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as driver
 from oracle import differences, duck
-from talentlake.operators import matching
+from talentlake.operators import matching, nearest
 from talentlake.plans import inputs
 from talentlake.plans.queries import QUERIES
 
@@ -17,7 +21,20 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) <= set(driver.oracle_sql())
+    assert set(QUERIES) <= set(driver.queries())
+
+
+def test_driver_works_without_the_optional_operators():
+    """Also where a package they need is missing."""
+    code = (
+        "import sys, warnings; warnings.simplefilter('ignore'); sys.modules[%r] = None\n"
+        "import __spark_entry__ as driver\n"
+        "assert set(driver.queries()) == set(driver.oracle_sql()) and len(driver.queries()) >= 48"
+    )
+    root = Path(driver.__file__).parent
+    for missing in ("talentlake.llm", "xxhash"):
+        subprocess.run([sys.executable, "-c", code % missing], cwd=root, check=True)
 
 
 def plan(df):
@@ -48,6 +65,21 @@ def test_scan_is_pruned_and_filtered(spark):
     assert "l_shipdate" not in schema and "l_comment" not in schema
 
 
+def test_pages_are_read_once(spark):
+    assert plan(QUERIES["page_assembly"](spark, SF_DIR)).count("FileScan") == 1
+
+
+def test_crowded_names_take_both_routes(spark, monkeypatch):
+    taken = []
+    for route in ("_by_patterns", "_by_segments"):
+        function = getattr(nearest, route)
+        monkeypatch.setattr(nearest, route, lambda *a, r=route, f=function: (taken.append(r), f(*a))[1])
+    found = QUERIES["crowded_names"](spark, "/root/testdata/sf0.01")
+    assert taken == ["_by_patterns", "_by_segments"]
+    lengths = {len(r.v_name.split(" ")[0]) > nearest.PATTERN_LENGTH for r in found.where("distance between 1 and 3").collect()}
+    assert lengths == {True, False}
+
+
 def test_ranking_is_limited_before_the_shuffle(spark):
     for name in ("best_candidate", "upsert_latest"):
         assert "WindowGroupLimit" in plan(QUERIES[name](spark, SF_DIR))
