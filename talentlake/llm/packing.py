@@ -28,8 +28,9 @@ LENGTH = 2048
 SEPARATOR = 1
 # Tasks whose totals, 16 bytes each, may be broadcast; beyond it they are joined by a shuffle.
 BROADCAST_TASKS = 4_000_000
-# Words whose ids a worker remembers.
+# Words, and what stands between white space, whose ids a worker remembers.
 REMEMBERED_WORDS = 400_000
+REMEMBERED_CHUNKS = 200_000
 
 # Texts of these characters only are lower-cased and split here as the tokenizer's own
 # normaliser and pattern do it; all others go through the tokenizer whole.
@@ -45,10 +46,11 @@ _WORD_END = "</w>"  # fixed value: mark of a word's last token
 
 
 class WordTokenizer:
-    """Ids of a text as little-endian unsigned 32-bit numbers; words are encoded once.
+    """Ids of a text as little-endian unsigned 32-bit numbers; words are encoded once, and what
+    stands between white space is put together once.
 
     For vocabularies with a word-end mark and the split pattern above: there, the ids of a
-    text are those of its words one after the other. Unknown words of a batch are encoded in
+    text are those of its words one after the other. Unknown words of a text are encoded in
     one call and told apart by the mark.
     """
 
@@ -59,33 +61,46 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        new = [word for word in words if word not in self.known]
+    def _learn_words(self, found: set[str]) -> None:
+        if len(self.words) > REMEMBERED_WORDS:
+            self.words.clear()
+        new = [word for word in found if word not in self.words]
         if not new:
             return
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
+        joined = self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)
+        ids = np.array(joined[0].ids, dtype="<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(new):
             raise ValueError("the vocabulary does not end every word with its mark")
         raw, start = ids.tobytes(), 0
         for word, end in zip(new, (cuts * 4).tolist()):
-            self.known[word] = raw[start:end]
+            self.words[word] = raw[start:end]
             start = end
 
+    def _learn(self, chunks: set[str]) -> None:
+        if len(self.known) > REMEMBERED_CHUNKS:
+            self.known.clear()
+        new = [chunk for chunk in chunks if chunk not in self.known]
+        split = list(map(_SPLIT.findall, new))
+        self._learn_words({word for own in split for word in own})
+        words = self.words
+        for chunk, own in zip(new, split):
+            self.known[chunk] = words[own[0]] if len(own) == 1 else b"".join([words[word] for word in own])
+
     def encode(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text) or any(token in text for token in _ADDED):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, dtype="<u4").tobytes()
-        words = _SPLIT.findall(text.lower())
+        # No word goes beyond white space, so the ids between two spaces stand for themselves.
+        chunks = text.lower().split()
         try:
-            return b"".join(map(self.known.__getitem__, words))
+            return b"".join(map(self.known.__getitem__, chunks))
         except KeyError:
-            self._learn(set(words))
-            return b"".join([self.known[word] for word in words])
+            self._learn(set(chunks))
+            return b"".join([self.known[chunk] for chunk in chunks])
 
 
 _tokenizers: dict[str, WordTokenizer] = {}  # of this worker, by path
@@ -104,7 +119,7 @@ def tokenised(docs: DataFrame, path: str, separator: int, doc_id: str, text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, total = tokenizer(path).encode, 0
         part = TaskContext.get().partitionId()
-        for batch in slices(batches, 128):
+        for batch in slices(batches):
             ids = [encode(t) + tail for t in texts_of(batch)]
             sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
             ends = total + np.cumsum(sizes)
