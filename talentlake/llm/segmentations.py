@@ -43,6 +43,8 @@ SAMPLES = 2
 THETA = 1.0
 SEED = 41
 BATCH = 1_500_000  # characters of texts at a time; a longer text is a batch of its own
+WINDOW = 40.0  # how much less likely, as a logarithm, prefixes are that are looked at first
+LIFT = 38.0  # more than -log(-log(u)) of any u below 1 that 53 bits hold
 COMMON = 384  # code points that the trie's array covers
 
 _WORD = re.compile("▁*[^▁]+|▁+")
@@ -347,22 +349,44 @@ def _beside(batch: Batch, search: Search, words: np.ndarray, edges: np.ndarray,
     """Records a path and the best prefixes that leave it after its first ``kept`` steps."""
     gone = np.concatenate([[0.0], np.cumsum(batch.share[edges])])
     search.paths.append((words, edges, float(gone[-1]), value))
-    source = batch.source[edges[kept:]]
+    stirred = _stirred(np.array([seed]), 1 + turn)
+    reach = gone[kept] - WINDOW
+    while True:
+        # What leaves the path late is far less likely than what leaves it early.
+        stop = kept + int(np.searchsorted(-gone[kept : len(edges)], -reach, side="right"))
+        drawn, step, edge = _leaving(batch, edges[kept:stop], gone[kept:stop], value, stirred, kept)
+        if stop == len(edges):
+            break
+        if len(drawn) < search.keep:
+            reach -= WINDOW
+            continue
+        # No draw lifts a prefix by more than LIFT, so later ones stay below those found.
+        least = np.partition(drawn, len(drawn) - search.keep)[len(drawn) - search.keep]
+        if gone[stop] + LIFT < least:
+            break
+        reach = least - LIFT
+    if not len(drawn):
+        return
+    best = np.argpartition(-drawn, min(search.keep, len(drawn) - 1))[: search.keep]
+    own = len(search.paths) - 1
+    found = [(float(drawn[b]), own, int(step[b]), int(edge[b])) for b in best]
+    search.open = sorted([*search.open, *found], key=lambda x: (-x[0], x[1:]))[: search.keep]
+
+
+def _leaving(
+    batch: Batch, edges: np.ndarray, gone: np.ndarray, value: float, stirred: np.ndarray, kept: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(perturbed value, step, edge) of the prefixes that leave a path at its steps from ``kept`` on."""
+    source = batch.source[edges]
     count = batch.edges[source]
-    step = np.repeat(np.arange(kept, len(edges)), count)
+    step = np.repeat(np.arange(len(edges)), count)
     edge = np.repeat(batch.first_edge[source] - np.cumsum(count) + count, count) + np.arange(count.sum())
     other = edge != edges[step]
     step, edge = step[other], edge[other]
-    if not len(edge):
-        return
     mass = gone[step] + batch.share[edge]
-    stirred = _stirred(_stirred(np.array([seed]), 1 + turn), np.arange(kept, len(edges)))
-    u = _uniform(stirred[step - kept], batch.rank[edge])
+    u = _uniform(_stirred(stirred, np.arange(kept, kept + len(edges)))[step], batch.rank[edge])
     drawn = mass - np.log(np.exp(np.minimum(mass - value, 700.0)) - np.log(u))
-    best = np.argpartition(-drawn, min(search.keep, len(drawn) - 1))[: search.keep]
-    own = len(search.paths) - 1
-    found = [(float(drawn[b]), own, int(step[b]), int(edge[b])) for b in best]
-    search.open = sorted([*search.open, *found], key=lambda x: (-x[0], x[1:]))[: search.keep]
+    return drawn, step + kept, edge
 
 
 def _samples(batch: Batch, search: Search) -> list[tuple[bytes, float, float, float]]:

@@ -1,13 +1,15 @@
 """Sampled segmentations: exact round trips, all paths of short texts, sampling without replacement."""
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from talentlake.llm.queries import tokenizer_path
+from talentlake.llm import segmentations
+from talentlake.llm.queries import QUERIES, tokenizer_path
 from talentlake.llm.segmentations import Pieces, decode, encode, sample
 
 SCHEMA = "doc_id bigint, text string, sample string, ids string, log_prob int"
@@ -94,3 +96,28 @@ def test_round_trip_in_spark(spark, model):
     alone = {bytes(r["ids"]) for r in encode(docs.where("doc_id = 6"), PATH, k=4).collect()}
     assert alone == {bytes(r["ids"]) for r in out if r["doc_id"] == 6}
     assert encode(docs.limit(0), PATH).collect() == []
+
+
+def test_looking_at_likely_prefixes_first_changes_nothing(model, monkeypatch):
+    texts = ["word " * 400 + "x" * 500, "the cat", "Ünïcödé 日本 " * 60, "a b c " * 900, "", "q"]
+    found = sample(model, texts, [11, 12, 13, 14, 15, 16], 6)
+    monkeypatch.setattr(segmentations, "WINDOW", 1e9)
+    assert sample(model, texts, [11, 12, 13, 14, 15, 16], 6) == found
+
+
+def test_query(spark, model):
+    data = "/root/testdata/sf0.001"
+    rows = QUERIES["op9_gumbel_segmentations"](spark, data).collect()
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    whole = encode(docs, PATH).withColumn("text", decode(F.col("ids"), PATH)).collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert all(r["text"] == model.processor.decode(model.processor.encode(texts[r["doc_id"]] or "")) for r in whole)
+    expected = sorted((r["doc_id"], r["sample"], len(r["ids"]) // 4, zlib.crc32(r["ids"]), r["log_prob"]) for r in whole)
+    assert sorted((r["doc_id"], r["sample"], r["n_ids"], r["ids_crc32"], r["log_prob"]) for r in rows) == expected
+    assert {r["doc_id"] for r in rows} == set(texts)
+    # A sample's log-probability is that of its pieces, up to the text's own constant.
+    for i in [r["doc_id"] for r in rows][:40]:
+        pair = [r for r in whole if r["doc_id"] == i]
+        if len(pair) == 2 and not any(model.processor.is_byte(int(p)) for r in pair for p in np.frombuffer(r["ids"], "<u4")):
+            weight = [sum(model.weights[p] for p in ids_of(r["ids"])) for r in pair]
+            assert weight[0] - weight[1] == pytest.approx(pair[0]["log_prob"] - pair[1]["log_prob"], abs=1e-6)
