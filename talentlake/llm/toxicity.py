@@ -1,18 +1,19 @@
-"""Toxicity by class-conditional Kneser-Ney models.
-
-A word is read as four symbols: its first three, four and five characters, itself. Two
-interpolated Kneser-Ney models, one of toxic and one of ordinary labelled texts, give each
-symbol's probability after the one before it. Discounted counts of the class back off to
-continuation counts (distinct words below a symbol) that both models share and that are
-gathered from all texts of the corpus; so what neither class has seen costs both the same, and
-a new word of a known family still tells. A text's score is a logistic function, fitted on
-labelled texts outside the counts, of the difference of its two log-likelihoods per word. Of the larger class
-only as many texts are counted as the smaller one has, chosen by a hash: with equal amounts, words
-too rare to tell are as often missing from one class as from the other.
-
-Symbols are hashed into one table of 4M cells, whatever the corpus, which bounds what is
-collected and broadcast. Labelled ids are a sample of at most ``max_labelled`` rows, broadcast
-to the one pass that counts; counts leave a task as at most one row per cell and class.
+"""Toxicity by class-conditional Kneser-Ney models over words.
+
+Two models, one of toxic and one of ordinary labelled texts, give each word a probability. A
+class knows a word by its continuation count, the distinct words that it follows there, less a
+discount; what the discounts free goes to counts that both models share, gathered from all texts
+of the corpus. So a word that neither class has seen more often than the discount costs both the
+same, and how often it is written anywhere says how much to make of a class that uses it. Both
+models also give ``SHARED_WEIGHT`` to the shared counts outright: of a hundred texts a class
+learns few words well, and the rest would be noise. A text's score is a logistic function, fitted
+on labelled texts outside the counts, of the difference of its two log-likelihoods per word. Of
+the larger class only as many texts are counted as the smaller one has, chosen by a hash: with
+equal amounts, words too rare to tell are as often missing from one class as from the other.
+
+Labelled ids are a sample of at most ``max_labelled`` rows, broadcast to the passes that need it.
+The model is a number for each word that a class has more often than the discount, which that
+sample bounds; shared counts of these words leave a task as at most one row per word.
 
 Null or empty text, or none but white space: a difference of 0, so the score of the bias
 alone. Labels of one class only: the score is that class's share. Repeated rows get equal rows.
@@ -24,133 +25,118 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talentlake.llm.frames import map_slices, slices, texts_of, typed
 from talentlake.llm.labelled import fold, labelled_sample, logistic
+from talentlake.workspace import stored
 
-MAX_LABELLED = 50_000
-DISCOUNT = 0.75
-PREFIXES = (3, 4, 5)
-SHAPE = (1 << 12, 1 << 5, 1 << 4, 1 << 2)  # cells of the first symbol, then of each below the one before
-CELLS = math.prod(SHAPE)
+MAX_LABELLED = 20_000
+DISCOUNT = 2
+SHARED_WEIGHT = 0.995
 CALIBRATION_FOLD = 1
-ORDINARY, TOXIC, SHARED = 0, 1, 2
-REMEMBERED_WORDS = 400_000
+ORDINARY, TOXIC = 0, 1
+PENDING_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W_]+")
+_START = ""  # stands before a text's first word
 
 
-class Cells(dict):
-    """Table cell of a word, remembered up to a bound."""
+def words_of(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > REMEMBERED_WORDS:
-            self.clear()
-        cell = 0
-        for symbol, size in zip((*(word[:n] for n in PREFIXES), word), SHAPE):
-            cell = cell * size + zlib.crc32(symbol.encode("utf-8", "surrogatepass")) % size
-        self[word] = cell
-        return cell
 
+def _digest(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - 2**63
 
-_cells = Cells()  # of this worker
 
+def continuations(labelled: DataFrame) -> DataFrame:
+    """(label, word, n): the distinct words that a word follows in the texts of a label."""
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    def run(batch: pa.RecordBatch) -> dict[str, object]:
+        seen = set()
+        for text, label in zip(texts_of(batch), batch.column("label").to_pylist()):
+            words = words_of(text)
+            seen.update((label, word, before) for before, word in zip([_START, *words], words))
+        return {
+            "label": pa.array([label for label, _, _ in seen], pa.int32()),
+            "word": pa.array([word for _, word, _ in seen], pa.string()),
+            "before": pa.array([_digest(before) for _, _, before in seen], pa.int64()),
+        }
+
+    pairs = map_slices(labelled, run, "label int, word string, before bigint").distinct()
+    return pairs.groupBy("label", "word").agg(F.count("*").alias("n"))
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """Rows (group, cell, n) of one pass over ``text`` and ``label``: words per cell of toxic
-    texts, of ordinary ones, and of all."""
+def shared_counts(docs: DataFrame, words: set[str]) -> DataFrame:
+    """(word, n) of the words in all texts; the word null stands for all of them together."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = {group: Counter() for group in (ORDINARY, TOXIC, SHARED)}
-        totals = {group: np.zeros(CELLS, dtype=np.int32) for group in seen}
+        wanted, total, seen, every = shared.value, Counter(), Counter(), 0
 
-        def settle(group: int) -> None:
-            words = seen[group]
-            cells = np.fromiter(map(_cells.__getitem__, words), dtype=np.int64, count=len(words))
-            np.add.at(totals[group], cells, np.fromiter(words.values(), dtype=np.int32, count=len(words)))
-            words.clear()
+        def settle() -> None:
+            total.update({word: n for word, n in seen.items() if word in wanted})
+            seen.clear()
 
         for batch in slices(batches):
-            for text, label in zip(texts_of(batch), batch.column("label").to_pylist()):
-                words = words_of(text)
-                seen[SHARED].update(words)
-                if label in (ORDINARY, TOXIC):
-                    seen[label].update(words)
-            for group, words in seen.items():
-                if len(words) > REMEMBERED_WORDS:
-                    settle(group)
-        for group, total in totals.items():
-            settle(group)
-            cells = np.flatnonzero(total)
-            for start in range(0, len(cells), 1 << 16):
-                part = cells[start : start + (1 << 16)]
-                columns = [pa.array(np.full(len(part), group, dtype=np.int32)), pa.array(part), pa.array(total[part].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["group", "cell", "n"])
-
-    rows = docs.mapInArrow(run, "group int, cell bigint, n bigint")
-    return rows.groupBy("group", "cell").agg(F.sum("n").alias("n"))
-
-
-def _levels(values: np.ndarray) -> list[np.ndarray]:
-    """Counts of the symbols of each level, a row for each parent."""
-    levels = []
-    values = values.reshape(SHAPE)
-    while values.ndim:
-        levels.insert(0, values.reshape(-1, values.shape[-1]))
-        values = values.sum(axis=-1)
-    return levels
+            for text in texts_of(batch):
+                found = words_of(text)
+                seen.update(found)
+                every += len(found)
+            if len(seen) > PENDING_WORDS:
+                settle()
+        settle()
+        yield pa.RecordBatch.from_pydict(
+            {"word": pa.array([None, *total], pa.string()), "n": pa.array([every, *total.values()], pa.int64())}
+        )
+
+    return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Model:
-    """Difference of the classes' log-probabilities per cell, and calibration: weights of the
-    difference per word, of the logarithm of the words, of their product, and the bias."""
+    """Difference of the classes' log-probabilities by word, that of all other words, and
+    calibration: weights of the difference per word, of the logarithm of the words, of their
+    product, and the bias."""
 
-    cells: np.ndarray
+    words: dict[str, float]
+    other: float
     calibration: np.ndarray = field(default_factory=lambda: np.array([1.0, 0.0, 0.0, 0.0]))
 
     @classmethod
-    def fit(cls, counts: pa.Table) -> Model:
-        group, cell, n = (counts.column(c).to_numpy() for c in ("group", "cell", "n"))
-        tables = []
-        for g in (ORDINARY, TOXIC, SHARED):
-            table = np.zeros(CELLS, dtype=np.float32)
-            table[cell[group == g]] = n[group == g]
-            tables.append(table)
-        shared = _levels((tables[SHARED] > 0).astype(np.float32))
-        logs = []
-        for table in tables[:2]:
-            whole = np.zeros((), dtype=np.float32)
-            for level, (own, types) in enumerate(zip(_levels(table), shared)):
-                backoff = (types + 0.5) / (types + 0.5).sum(axis=1, keepdims=True)
-                total = own.sum(axis=1, keepdims=True)
-                left = np.where(total > 0, np.minimum(own, DISCOUNT).sum(axis=1, keepdims=True) / np.maximum(total, 1), 1.0)
-                p = np.maximum(own - DISCOUNT, 0) / np.maximum(total, 1) + left * backoff
-                whole = whole[..., None] + np.log(p).reshape(SHAPE[: level + 1])
-            logs.append(whole.ravel())
-        return cls((logs[1] - logs[0]).astype(np.float32))
+    def fit(cls, own: list[dict[str, int]], totals: list[tuple[int, int]], shared: dict[str, int], every: int) -> Model:
+        """``own``: by class the continuation counts above the discount; ``totals``: by class the
+        sum of all counts, and of what the discount takes from them."""
+        known = sorted(own[ORDINARY].keys() | own[TOXIC].keys())
+        backoff = np.array([shared.get(word, 0) + 0.5 for word in known]) / (every + 1.0)
+        logs, others = [], []
+        for counts, (total, taken) in zip(own, totals):
+            left = taken / total if total else 1.0
+            kept = np.array([max(counts.get(word, 0) - DISCOUNT, 0) for word in known]) / max(total, 1)
+            logs.append(np.log((1 - SHARED_WEIGHT) * (kept + left * backoff) + SHARED_WEIGHT * backoff))
+            others.append(math.log((1 - SHARED_WEIGHT) * left + SHARED_WEIGHT))
+        difference = logs[TOXIC] - logs[ORDINARY]
+        return cls(dict(zip(known, difference.tolist())), others[TOXIC] - others[ORDINARY])
 
     def measure(self, texts: list[str]) -> np.ndarray:
         """Toxic less ordinary log-likelihood per word (0 without words) and what goes with it."""
         out = np.zeros((len(texts), 3))
+        get, other = self.words.get, self.other
         for i, text in enumerate(texts):
             words = words_of(text)
             if words:
-                cells = np.fromiter(map(_cells.__getitem__, words), dtype=np.int64, count=len(words))
-                difference, size = self.cells[cells].mean(dtype=np.float64), math.log1p(len(words))
+                # In units that the calibration's steps and ridge are made for.
+                difference = sum([get(word, other) for word in words]) / len(words) / (1 - SHARED_WEIGHT)
+                size = math.log1p(len(words))
                 out[i] = difference, size, difference * size
         return out
 
@@ -173,28 +159,43 @@ def fit(
     sizes = {row["label"]: row["count"] for row in chosen.groupBy("label").count().collect()}
     least = min(sizes.get(ORDINARY, 0), sizes.get(TOXIC, 0))
     share = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) / 1_000_000
-    # The sample is at most max_labelled rows.
-    joined = read.join(F.broadcast(chosen), "doc_id", "left").select(
-        "text", "label", fold("doc_id").alias("fold"), share.alias("share")
+    # The sample is at most max_labelled rows; its texts are stored, to be read twice.
+    labelled = stored(
+        read.join(F.broadcast(chosen), "doc_id").select("text", "label", fold("doc_id").alias("fold"), share.alias("share")),
+        "labelled",
     )
     taken = F.lit(False)
     for value, rows in sizes.items():
         taken = taken | ((F.col("label") == value) & (F.col("share") * rows < least))
-    joined = joined.withColumn("taken", taken)
-    for_counts = F.when((F.col("fold") != CALIBRATION_FOLD) & F.col("taken"), F.col("label"))
-    model = Model.fit(counted(joined.select("text", for_counts.alias("label"))).toArrow())
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    learned = labelled.where((F.col("fold") != CALIBRATION_FOLD) & taken).select("text", "label")
+    counts = stored(continuations(learned), "continuations")
+    sums = {
+        row["label"]: (row["total"], row["taken"])
+        for row in counts.groupBy("label")
+        .agg(F.sum("n").alias("total"), F.sum(F.least("n", F.lit(DISCOUNT))).alias("taken"))
+        .collect()
+    }
+    own: list[dict[str, int]] = [{}, {}]
+    for batch in counts.where(F.col("n") > DISCOUNT).toArrow().to_batches():
+        for value, word, n in zip(*(batch.column(name).to_pylist() for name in ("label", "word", "n"))):
+            own[value][word] = n
+    words = own[ORDINARY].keys() | own[TOXIC].keys()
+    everywhere = shared_counts(read, words).toArrow().to_pydict()
+    shared = dict(zip(everywhere["word"], everywhere["n"]))
+    every = shared.pop(None, 0)
+    model = Model.fit(own, [sums.get(ORDINARY, (0, 0)), sums.get(TOXIC, (0, 0))], shared, every)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batch: pa.RecordBatch) -> dict[str, object]:
-        columns = shared.value.measure(texts_of(batch)).T
+        columns = sent.value.measure(texts_of(batch)).T
         return {"label": batch.column("label"), **{name: column for name, column in zip("abc", columns)}}
 
-    held = joined.where((F.col("fold") == CALIBRATION_FOLD) & F.col("label").isNotNull()).select("text", "label")
+    held = labelled.where(F.col("fold") == CALIBRATION_FOLD).select("text", "label")
     seen = map_slices(held, measure, "label int, a double, b double, c double").toArrow()
     if seen.num_rows:
         x = np.column_stack([seen.column(name).to_numpy() for name in "abc"])
         model.calibration = logistic(x, seen.column("label").to_numpy())
-    shared.unpersist()
+    sent.unpersist()
     return model
 
 
