@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -41,6 +43,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KEY = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*-----END [A-Z ]*PRIVATE KEY-----)?")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 TOKEN_ENTROPY = 3.5  # bits per character
+MARK = "[secret]"
 MAX_OWNERS = 2
 MAX_REPOSITORIES = 9
 
@@ -73,9 +76,14 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     if "PRIVATE KEY" in text:
         found += [(3, m.start(), m.end(), m[0]) for m in KEY.finditer(text)]
         taken += [(start, end) for kind, start, end, _ in found if kind == 3]
+    taken.sort()
+    starts = [start for start, _ in taken]
+    reach = list(accumulate((end for _, end in taken), max))  # of a span and all that start before it
     for m in TOKEN.finditer(text):
-        if _random_looking(m[0]) and not any(s < m.end() and m.start() < e for s, e in taken):
-            found.append((4, m.start(), m.end(), m[0]))
+        if _random_looking(m[0]):
+            before = bisect_left(starts, m.end())
+            if not (before and reach[before - 1] > m.start()):
+                found.append((4, m.start(), m.end(), m[0]))
     return sorted(found, key=lambda x: (x[1], x[0], x[2]))
 
 
@@ -89,6 +97,22 @@ def _scan(texts: pa.Array) -> pa.Array:
     return pa.array([spans(text.as_py()) for text in texts], type=_ARROW)
 
 
+def cover(text: str, spans: list[tuple[int, int]]) -> str:
+    """A text with every span, given by start, replaced; overlapping ones become one."""
+    out, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            out += [text[at:start], MARK]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def _covered(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    return pa.array(
+        [cover(t.as_py(), [tuple(s.values()) for s in own.as_py()]) for t, own in zip(texts, spans)], pa.string()
+    )
+
+
 def scan(text: Column) -> Column:
     """Candidates of a text as an array of (kind, start, end, hash of the value)."""
     return F.arrow_udf(_scan, SPAN)(text)
@@ -181,7 +205,7 @@ def redact(
     """``docs``, all rows and columns, with every live-looking secret replaced by
     ``[secret]``. Only texts with candidates are joined to their verdicts. ``size`` names a
     column that holds the text's length."""
-    name = first_of(["found", "row_key", "key", "spans"], docs.columns)
+    name = first_of(["found", "row_key", "key", "spans", "covered"], docs.columns)
     found, row = name["found"], name["row_key"]
     scanned = docs.withColumn(found, F.coalesce(scan(F.col(text)), F.array().cast(SPAN)))
     clean = scanned.where(F.size(found) == 0).drop(found)
@@ -191,24 +215,11 @@ def redact(
     )
     spans = F.col(name["spans"])
 
-    def cover(state: Column, s: Column) -> Column:
-        # Spans come by start; what overlaps one before it lengthens the cover.
-        kept = F.substring(F.col(text), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        mark = F.when(s["start"] >= state["at"], F.lit("[secret]")).otherwise("")
-        return F.struct(
-            F.concat(state["out"], kept, mark).alias("out"),
-            F.greatest(state["at"], s["end"]).alias("at"),
-        )
-
-    covered = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        cover,
-        lambda s: F.concat(s["out"], F.substring(F.col(text), s["at"] + 1, F.length(text))),
-    )
+    covered = name["covered"]
+    new_text = F.arrow_udf(_covered, "string")(F.col(text), F.transform(spans, lambda s: F.struct(s["start"], s["end"])))
     any_live = F.size(spans) > 0
-    columns = [covered.alias(c) if c == text else F.col(c) for c in docs.columns]
+    columns = [F.col(covered).alias(c) if c == text else F.col(c) for c in docs.columns]
     if size:
         length = F.when(any_live, F.length(covered).cast(docs.schema[size].dataType)).otherwise(F.col(size))
         columns[docs.columns.index(size)] = length.alias(size)
-    return clean.unionByName(held.join(judged, row).select(*columns))
+    return clean.unionByName(held.join(judged, row).withColumn(covered, new_text).select(*columns))

@@ -1,10 +1,12 @@
 """Secret scans against plain loops."""
 
 import hashlib
+import random
 import re
+import time
 
 from talentlake.llm.queries import QUERIES
-from talentlake.llm.secrets import redact, secrets
+from talentlake.llm.secrets import KINDS, candidates, cover, redact, secrets
 
 DATA = "/root/testdata/sf0.01"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, found string, spans int, key int"
@@ -81,3 +83,44 @@ def test_long_text_and_leftmost_rule(spark):
     text = "secret: token:abcdefgh " + "w " * 100_000 + f"AKIA{'Z' * 16} AKIA{'Z' * 15}"
     (r,) = secrets(frame(spark, [row(1, text)])).collect()
     assert [(s["kind"], s["start"], s["end"]) for s in r["spans"]] == [(k, s, e) for s, _, k, e in base(text)]
+
+
+def test_ownership_against_plain_counting(spark):
+    chosen = random.Random(6)
+    values = ["".join(chosen.choices("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNP23456789", k=28)) for _ in range(25)]
+    rows = []
+    for i in range(160):
+        parts = [chosen.choice(["see {}", "token={}", "password: '{}'", "{}"]).format(chosen.choice(values[: chosen.choice([2, 25])])) for _ in range(3)]
+        rows.append((chosen.choice([i, i // 2, None]), " - ".join(parts), chosen.choice(["a", "b", "c", None])))
+    owners, repositories = {}, {}
+    for doc_id, text, source in rows:
+        for _, _, _, value in candidates(text):
+            owners.setdefault(value, set()).add(source)
+            repositories.setdefault(value, set()).add((source, doc_id))
+    live = lambda value: len(owners[value]) <= 2 and len(repositories[value]) <= 9
+    expected = sorted(
+        (
+            str(doc_id),
+            [(KINDS[kind], s, e, live(v), len(owners[v]), len(repositories[v])) for kind, s, e, v in candidates(text) if kind < 3 or live(v)],
+        )
+        for doc_id, text, _ in rows
+    )
+    docs = frame(spark, [row(doc_id, text, source) for doc_id, text, source in rows])
+    found = sorted((str(r["doc_id"]), [tuple(s) for s in r["spans"]]) for r in secrets(docs).collect())
+    assert found == expected
+    assert {x[3] for _, spans in expected for x in spans} == {True, False}
+
+
+def test_cover():
+    assert cover("abcdef", [(1, 3), (2, 4), (5, 6)]) == "a[secret]e[secret]"
+    assert cover("abc", []) == "abc"
+
+
+def test_long_texts_take_linear_time():
+    text = " ".join(f"token={i:08d}{RANDOM} {RANDOM}{i:06d}" for i in range(40_000))
+    assert len(text) > 2_500_000
+    start = time.perf_counter()
+    found = candidates(text)
+    assert len(found) > 60_000
+    assert len(cover(text, [(s, e) for _, s, e, _ in found])) < len(text)
+    assert time.perf_counter() - start < 30
