@@ -56,6 +56,66 @@ def test_ordinal_fit_orders_its_grades():
     assert (np.diff(model.weights[:4]) > 0).all()
 
 
+def plain_loss(p, texts, grades, n_grades):
+    """Ridged mean negative log-likelihood of the ordinal model, text by text."""
+    weights, ratios, thresholds = p
+    total = 0.0
+    for (cells, shares, own), g in zip(texts, grades):
+        eta = sum(weights[c] * s for c, s in zip(cells, shares)) + float(np.dot(own, ratios))
+        at_most = [0.0, *(1 / (1 + np.exp(eta - t)) for t in thresholds), 1.0]
+        total -= np.log(at_most[g + 1] - at_most[g])
+    return total / len(grades)
+
+
+def test_ordinal_fit_is_a_maximum_of_the_likelihood():
+    rng = np.random.default_rng(4)
+    n, grades = 120, rng.integers(0, 3, 120)
+    cells = [np.array([int(g + rng.integers(0, 2)), 10, 11]) for g in grades]
+    shares = [np.array([1.0, 0.4, rng.random()], dtype=np.float32) for _ in grades]
+    ratios = rng.random((n, quality.RATIOS))
+    model = quality.Model.fit(cells, shares, ratios, grades, 3)
+    rows = list(zip(cells, shares, ratios))
+    fitted = plain_loss((model.weights, model.ratios, model.thresholds), rows, grades, 3)
+    for _ in range(40):
+        moved = model.weights.copy()
+        moved[[0, 1, 2, 3, 10, 11]] += rng.normal(0, 0.3, 6)
+        other = (moved, model.ratios + rng.normal(0, 0.3, quality.RATIOS), np.sort(model.thresholds + rng.normal(0, 0.3, 2)))
+        assert plain_loss(other, rows, grades, 3) > fitted - 1e-3
+
+
+def test_quality_scores_by_hand(spark):
+    """Every text's number summed trigram by trigram."""
+    rng = np.random.default_rng(2)
+    model = quality.Model(
+        rng.normal(size=2 * quality.BUCKETS).astype(np.float32), rng.normal(size=quality.RATIOS), np.array([-0.5, 0.7])
+    )
+    texts = ["Ab1 é日\n\nx", "one two two", "zz"]
+
+    def bucket(a, b, c):
+        m = 2**32
+        h = (c * 0x9E3779B1 + b * 0x85EBCA6B + a * 0xC2B2AE35) % m
+        h = ((h ^ (h >> 15)) * 0x2C1B3C6D) % m
+        return (h >> 12) & (quality.BUCKETS - 1)
+
+    def kind(c):
+        return int(quality._CLASSES[ord(c)]) if ord(c) < len(quality._CLASSES) else 1
+
+    expected = []
+    for text in texts:
+        padded = "\n\n" + text
+        total = 0.0
+        for i in range(2, len(padded)):
+            total += model.weights[bucket(*(ord(c) for c in padded[i - 2 : i + 1]))]
+            total += model.weights[quality.BUCKETS + bucket(*(kind(c) for c in padded[i - 2 : i + 1]))]
+        eta = quality.SCALE * total / len(text) + float(np.dot(quality._ratios(text), model.ratios))
+        expected.append([1 / (1 + np.exp(eta - t)) for t in model.thresholds])
+    assert model.at_most(texts) == pytest.approx(np.array(expected), abs=1e-4)
+    out = {r["text"]: r for r in quality.quality(frame(spark, list(enumerate(texts))), model).collect()}
+    for text, (low, middle) in zip(texts, expected):
+        assert out[text]["expected_grade"] == pytest.approx(2 - low - middle, abs=1e-4)
+        assert out[text]["tail"] == pytest.approx(1 - low, abs=1e-4)
+
+
 def test_quality_edges(spark):
     docs = frame(spark, EDGES)
     model = quality.fit(docs, spark.createDataFrame([], "doc_id bigint, quality int, toxic int"), grade())
@@ -70,20 +130,49 @@ def test_quality_edges(spark):
 def test_toxicity_on_held_out_rows(spark, labels):
     rows = QUERIES["op4_kneser_ney"](spark, DATA).collect()
     assert all(r["held_out"] == held_out(r["doc_id"]) and r["predicted"] == (r["score"] >= 0.5) for r in rows)
-    known = [r for r in rows if r["doc_id"] in labels]
-    score = np.array([r["score"] for r in known])
-    assert ((score >= 0) & (score <= 1)).all()
-    assert area(score, np.array([labels[r["doc_id"]]["toxic"] for r in known])) > 0.8
-
-
-def test_toxicity_finds_words_and_families(spark):
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    known = [r for r in rows if r["doc_id"] in labels and held_out(r["doc_id"])]
+    score, y = np.array([r["score"] for r in known]), np.array([labels[r["doc_id"]]["toxic"] for r in known])
+    assert area(score, y) > 0.8
+
+
+def test_kneser_ney_by_hand():
+    """Both models spelled out word by word."""
+    own, shared = [{"a": 5, "b": 3}, {"a": 4, "c": 7}], {"a": 50, "b": 9, "c": 8}
+    totals, every = [(20, 8), (30, 9)], 1000
+    model = toxicity.Model.fit(own, totals, shared, every)
+
+    def p(value, word):
+        base = (shared[word] + 0.5) / (every + 1)
+        total, taken = totals[value]
+        kneser_ney = max(own[value].get(word, 0) - 2, 0) / total + taken / total * base
+        return 0.005 * kneser_ney + 0.995 * base
+
+    for word in "abc":
+        assert model.words[word] == pytest.approx(np.log(p(1, word) / p(0, word)))
+    assert model.words["b"] < model.other < 0 < model.words["c"]
+    text = "A x b? c_c"
+    expected = (model.words["a"] + model.words["b"] + 2 * model.words["c"] + model.other) / 5 / 0.005
+    assert model.measure([text, ""])[:, 0] == pytest.approx([expected, 0])
+
+
+def test_continuations_count_distinct_words_before(spark):
+    rows = [("a b a b c b", 0), ("c b", 0), ("a b", 1), ("a b", 1), (None, 1), ("", 0)]
+    docs = spark.createDataFrame(rows, "text string, label int")
+    counts = {(r["label"], r["word"]): r["n"] for r in toxicity.continuations(docs).collect()}
+    assert counts == {(0, "a"): 2, (0, "b"): 2, (0, "c"): 2, (1, "a"): 1, (1, "b"): 1}
+    shared = {r["word"]: r["n"] for r in toxicity.shared_counts(docs.select("text"), {"a", "zz"}).collect()}
+    assert shared == {None: 12, "a": 4}
+
+
+def test_toxicity_finds_words(spark):
     rng = np.random.default_rng(1)
     words = [f"{a}{b}" for a in ("pla", "men", "tor", "sil", "ver") for b in ("a", "ona", "ist", "ing", "ed", "um")]
     rows, marks = [], []
     for i in range(600):
         text = rng.choice(words, 60).tolist()
         if i % 4 == 0:
-            text[5], text[40] = ("vile", "grubby") if i % 8 else (f"zorq{i}a", f"zorq{i}b")
+            text[5], text[40] = "vile", "grubby"
         rows.append((i, " ".join(text)))
         marks.append((i, int(i % 4 == 0)))
     docs = frame(spark, [*rows, *EDGES])
