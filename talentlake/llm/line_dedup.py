@@ -1,9 +1,10 @@
-"""Line dedup by a deletion-neighbourhood join, within one edited word.
+"""Line dedup by a deletion-neighbourhood join, within one edited word in eight.
 
-A line is removed if an earlier line of the corpus (by document id, then line number) is the
-same but for at most one word inserted, deleted or replaced; lines are compared by their
-lower-case words. Lines of fewer than ``min_words`` words (headings, short notices, blank lines)
-are left alone. Of equal lines the first stays.
+A line is removed if an earlier line of the corpus is the same but for its edits: one word
+inserted, deleted or replaced if both lines have ``min_words`` words or more, none if one of them
+is shorter, since a word is too much of it. Lines are compared by their lower-case words; lines
+without a word are left alone. The earlier line is the one of the lesser document id, then of the
+lesser hash of the text, then of the lesser line number. Of equal lines the first stays.
 
 Every line with a possible neighbour emits the hashes of its variants with one word left out.
 Two lines of equal length within the bound share a variant at the same position; a line that
@@ -30,9 +31,9 @@ from pyspark.sql import functions as F
 
 from talentlake.llm.frames import first_of, map_slices, same, text_hash, texts_of, typed
 from talentlake.llm.shingles import mixed, word_hashes
-from talentlake.workspace import stored
+from talentlake.workspace import discard, stored
 
-MIN_WORDS = 8
+MIN_WORDS = 8  # of lines that may differ by a word
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 FRONT, BACK = 1, 2  # the half that a live key leaves to the edit
@@ -109,15 +110,15 @@ def within_one(a: list[str], b: list[str]) -> bool:
 
 
 def read_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """Per line of enough words: the document's key, its number, ``node`` (hash of its words) and
-    the hashes of its halves."""
+    """Per line with a word: the document's key, its number, ``node`` (hash of its words) and, of
+    lines with enough words for an edit, the hashes of its halves."""
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         owner, number, lines = [], [], []
         for i, body in enumerate(texts_of(batch)):
             for k, line in enumerate(body.split("\n")):
                 words = line_words(line)
-                if len(words) >= min_words:
+                if words:
                     owner.append(i)
                     number.append(k)
                     lines.append(words)
@@ -126,7 +127,7 @@ def read_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataF
         # Lines of even length also emit halves one shorter, to meet those with a word less.
         size = np.where(hashed.n % 2 == 0, half - 1, half)
         keys = np.stack([hashed.prefix(half), hashed.suffix(half), hashed.prefix(size), hashed.suffix(size)], axis=1)
-        taken = np.where(hashed.n % 2 == 0, 4, 2)
+        taken = np.where(hashed.n < min_words, 0, np.where(hashed.n % 2 == 0, 4, 2))
         flat = keys.ravel()[(np.arange(4)[None, :] < taken[:, None]).ravel()]
         offsets = np.concatenate([[0], np.cumsum(taken)]).astype(np.int32)
         at = pa.array(owner, type=pa.int64())
@@ -186,8 +187,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_slices(both, run, "node bigint").distinct()
 
 
-def _near(docs: DataFrame, lines: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Nodes of distinct lines (node, first, halves) that have an earlier line within the bound."""
+def _near(docs: DataFrame, lines: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, list[DataFrame]]:
+    """Nodes of distinct lines (node, first, halves) that have an earlier line within the bound,
+    and the stored tables that this reads."""
     halves = lines.select("node", F.posexplode("halves").alias("which", "half"))
     shared = stored(
         halves.groupBy("half").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b").select("half"),
@@ -210,6 +212,7 @@ def _near(docs: DataFrame, lines: DataFrame, doc_id: str, text: str) -> DataFram
     )
     # Of a line whose document is repeated as a whole, one copy is enough.
     texts = stored(fetched.groupBy("node").agg(F.first("sides").alias("sides"), F.first("line_text").alias("line_text")), "near_lines")
+    discard(shared, fetched)
     variants = stored(_variants(texts), "variants")
     crowded = stored(
         variants.groupBy("variant").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b").select("variant"),
@@ -219,6 +222,7 @@ def _near(docs: DataFrame, lines: DataFrame, doc_id: str, text: str) -> DataFram
         variants.join(crowded, "variant").join(firsts, "node").select("variant", "place", F.struct("first", "node").alias("at")),
         "crowded_lines",
     )
+    discard(variants, crowded)
     own = rows.where("place = -1").select("variant", F.col("at").alias("own"))
     longer = rows.where("place >= 0")
     replaced_first = stored(longer.groupBy("variant", "place").agg(F.min("at").alias("earliest")), "earliest")
@@ -227,10 +231,11 @@ def _near(docs: DataFrame, lines: DataFrame, doc_id: str, text: str) -> DataFram
     longest = replaced_first.groupBy("variant").agg(F.min("earliest").alias("earliest"))
     with_longer = own.join(longest, "variant").select(F.col("own").alias("at"), "earliest")
     pairs = replaced.union(with_shorter).union(with_longer).where(F.col("earliest.first") < F.col("at.first"))
-    return _verified(
+    near = _verified(
         pairs.select(F.col("at.node").alias("node"), F.col("earliest.node").alias("earlier")).distinct(),
         texts.select("node", "line_text"),
     )
+    return near, [texts, rows, replaced_first]
 
 
 def repeated_lines(
@@ -245,7 +250,8 @@ def repeated_lines(
         ),
         "distinct_lines",
     )
-    near = _near(docs, distinct.select("node", "first", "halves"), doc_id, text).withColumn("near", F.lit(True))
+    near, spent = _near(docs, distinct.where(F.size("halves") > 0).select("node", "first", "halves"), doc_id, text)
+    near = near.withColumn("near", F.lit(True))
     touched = stored(
         distinct.select("node", "first", (F.col("first") != F.col("last")).alias("again"))
         .join(near, "node", "left")
@@ -253,6 +259,7 @@ def repeated_lines(
         .select("node", "first", F.coalesce("near", F.lit(False)).alias("near")),
         "touched",
     )
+    discard(distinct, *spent)
     at = lines.select("doc_id", "text_hash", "line", "node", _order().alias("at"))
     gone = at.join(touched, "node").where(F.col("near") | (F.col("at") != F.col("first")))
     is_near = (F.col("near") & (F.col("at") == F.col("first"))).cast("int")
@@ -271,30 +278,30 @@ def without_repeats(
 ) -> DataFrame:
     """``docs``, columns as they are, without their repeated lines; documents that this leaves
     without a word go. ``size`` names a column that holds the text's length."""
-    names = first_of(["row", "doc_key", "body_hash", "left_text"], docs.columns)
+    names = first_of(["doc_key", "body_hash", "removed_id", "removed_hash", "removed_lines", "left_text"], docs.columns)
+    doc_key, body_hash, removed_id, removed_hash, removed_lines, left_text = names.values()
     removed = repeated_lines(docs, doc_id, text, min_words).select(
-        F.col("doc_id").alias("removed_id"), F.col("text_hash").alias("removed_hash"), F.col("removed").alias("removed_lines")
+        F.col("doc_id").alias(removed_id), F.col("text_hash").alias(removed_hash), F.col("removed").alias(removed_lines)
     )
-    read = docs.select(
-        F.struct(*docs.columns).alias(names["row"]),
-        F.col(doc_id).alias(names["doc_key"]),
-        text_hash(text).alias(names["body_hash"]),
-    )
-    on = read[names["doc_key"]].eqNullSafe(removed["removed_id"]) & (read[names["body_hash"]] == removed["removed_hash"])
-    row = names["row"]
-    kept = F.filter(F.split(f"{row}.{text}", "\n"), lambda _, i: ~F.array_contains("removed_lines", i))
-    changed = F.col("removed_lines").isNotNull()
-    body = F.when(changed, F.array_join(kept, "\n")).otherwise(F.col(f"{row}.{text}"))
-    joined = read.join(removed, on, "left").select(row, changed.alias("changed"), body.alias("left_text"))
-    left = joined.where(~F.col("changed") | F.col("left_text").rlike(r"\S"))
+    read = docs.withColumns({doc_key: F.col(doc_id), body_hash: text_hash(text)})
+    on = read[doc_key].eqNullSafe(removed[removed_id]) & (read[body_hash] == removed[removed_hash])
+
+    def rest(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed_lines))
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    # The lines are bound to a variable, so that the text is split once.
+    body = F.get(F.transform(F.array(F.split(F.col(text), "\n")), rest), F.lit(0))
+    changed = F.col(removed_lines).isNotNull()
+    joined = read.join(removed, on, "left").withColumn(left_text, F.when(changed, body))
+    left = joined.where(~changed | F.col(left_text).rlike(r"\S"))
     columns = []
     for name in docs.columns:
+        column = F.col(name)
         if name == text:
-            column = F.col("left_text")
+            column = F.when(changed, F.col(left_text)).otherwise(column)
         elif name == size:
-            kind = docs.schema[name].dataType
-            column = F.when(F.col("changed"), F.length("left_text").cast(kind)).otherwise(F.col(f"{row}.{name}"))
-        else:
-            column = F.col(f"{row}.{name}")
+            length = F.length(left_text).cast(docs.schema[name].dataType)
+            column = F.when(changed, length).otherwise(column)
         columns.append(column.alias(name))
     return left.select(*columns)

@@ -43,32 +43,33 @@ from failed
 """
 
 LINE_DEDUP = r"""
-with d as (select doc_id, coalesce(text, '') as t from documents),
-raw as (select doc_id, generate_subscripts(string_split(t, chr(10)), 1) - 1 as k, unnest(string_split(t, chr(10))) as line from d),
+with d as (select row_number() over (order by doc_id) as r, doc_id, coalesce(text, '') as t from documents),
+raw as (select r, generate_subscripts(string_split(t, chr(10)), 1) - 1 as k, unnest(string_split(t, chr(10))) as line from d),
 lines as (
-  select doc_id, k, words, array_to_string(words, ' ') as node from (
-    select doc_id, k, list_filter(string_split_regex(lower(line), '\s+'), lambda x: x <> '') as words from raw)
-  where len(words) >= 8),
-nodes as (select node, any_value(words) as words, min((doc_id, k)) as first from lines group by node),
-places as (select node, words, first, unnest(range(1, len(words) + 1)) as p from nodes),
+  select r, k, words, array_to_string(words, ' ') as node from (
+    select r, k, list_filter(string_split_regex(lower(line), '\s+'), lambda x: x <> '') as words from raw)
+  where len(words) >= 1),
+nodes as (select node, any_value(words) as words, min((r, k)) as first from lines group by node),
+long as (select * from nodes where len(words) >= 8),
+places as (select node, words, first, unnest(range(1, len(words) + 1)) as p from long),
 variants as (
   select node, first, p, array_to_string(list_concat(words[1 : p - 1], words[p + 1 :]), ' ') as v from places),
 near as (
   select node from (select node, first, min(first) over (partition by v, p) as least from variants) where least < first
   union
-  select a.node from variants a join nodes b on a.v = b.node where b.first < a.first
+  select a.node from variants a join long b on a.v = b.node where b.first < a.first
   union
-  select b.node from variants a join nodes b on a.v = b.node where a.first < b.first),
+  select b.node from variants a join long b on a.v = b.node where a.first < b.first),
 gone as (
-  select doc_id, k, near.node is not null and (doc_id, k) = first as is_near
+  select r, k, near.node is not null and (r, k) = first as is_near
   from lines join nodes using (node) left join near using (node)
-  where near.node is not null or (doc_id, k) <> first),
+  where near.node is not null or (r, k) <> first),
 per_doc as (
-  select doc_id, count(*) as n_removed, count(*) filter (is_near) as n_near, string_agg(k::varchar, ',' order by k) as removed_lines
-  from gone group by doc_id)
-select d.doc_id, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_near, 0)::bigint as n_near,
+  select r, count(*) as n_removed, count(*) filter (is_near) as n_near, string_agg(k::varchar, ',' order by k) as removed_lines
+  from gone group by r)
+select doc_id, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_near, 0)::bigint as n_near,
   coalesce(removed_lines, '') as removed_lines
-from d left join per_doc on d.doc_id = per_doc.doc_id
+from d left join per_doc on d.r = per_doc.r
 """
 
 COLLISION_COUNTING = """

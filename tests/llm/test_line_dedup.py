@@ -26,12 +26,13 @@ def brute(rows, min_words=8):
     for doc_id, text in set(rows):
         for k, line in enumerate((text or "").split("\n")):
             words = line_words(line)
-            if len(words) >= min_words:
+            if words:
                 lines.append(((doc_id is None, doc_id or 0, k), (doc_id, text), k, words))
     out = {row: [] for row in rows}
     for order, row, k, words in lines:
         for other, _, _, earlier in lines:
-            if other < order and abs(len(words) - len(earlier)) <= 1 and distance(words, earlier) <= 1:
+            edits = 1 if min(len(words), len(earlier)) >= min_words else 0
+            if other < order and abs(len(words) - len(earlier)) <= edits and distance(words, earlier) <= edits:
                 out[row].append(k)
                 break
     return {row: sorted(ks) for row, ks in out.items()}
