@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a batch that are turned into Python objects at once.
+# Rows, and bytes, of a batch that are turned into Python objects at once; a row that is larger
+# goes alone.
 SLICE_ROWS = 512
+SLICE_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +35,28 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return condition
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """Batches cut small, so that Python objects of a few texts exist at a time."""
+def _row_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of the texts of every row."""
+    total = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            total += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    return total
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut small, by rows and by bytes, so that Python objects of few texts exist at a time."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        ends = np.cumsum(_row_bytes(batch))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            fits = int(np.searchsorted(ends, before + size, side="right"))
+            end = min(max(fits, start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:

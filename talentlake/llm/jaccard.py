@@ -279,20 +279,14 @@ def jaccard_join(
 def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: float) -> DataFrame:
     """``docs``, columns as they are, with one document of each group; texts without words all
     stay, rows repeated as a whole are one document."""
-    names = first_of(["row", "body", "doc_key", "body_hash", "place"], docs.columns)
+    names = first_of(["doc_key", "body_hash", "blank", "place"], docs.columns)
+    doc_key, body_hash, blank, place = names.values()
     rows = jaccard_join(docs, doc_id, text, **options).where("kept")
     kept = rows.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
-    read = docs.select(
-        F.struct(*docs.columns).alias(names["row"]),
-        F.col(doc_id).alias(names["doc_key"]),
-        text_hash(text).alias(names["body_hash"]),
-        (F.trim(F.coalesce(F.col(text), F.lit(""))) == "").alias("blank"),
-    )
-    on = read[names["doc_key"]].eqNullSafe(kept["kept_id"]) & (read[names["body_hash"]] == kept["kept_hash"])
-    copies = Window.partitionBy(names["doc_key"], names["body_hash"]).orderBy(names["body_hash"])
-    return (
-        read.join(kept, on, "left_semi")
-        .withColumn(names["place"], F.row_number().over(copies))
-        .where((F.col(names["place"]) == 1) | F.col("blank"))
-        .select(f"{names['row']}.*")
-    )
+    # Blank texts need no window, and all of them without an id would be one group of it.
+    is_blank = ~F.coalesce(F.col(text), F.lit("")).rlike(r"\S")
+    read = docs.withColumns({doc_key: F.col(doc_id), body_hash: text_hash(text), blank: is_blank})
+    on = read[doc_key].eqNullSafe(kept["kept_id"]) & (read[body_hash] == kept["kept_hash"])
+    copies = Window.partitionBy(doc_key, body_hash).orderBy(body_hash)
+    first = read.where(~F.col(blank)).join(kept, on, "left_semi").withColumn(place, F.row_number().over(copies))
+    return first.where(F.col(place) == 1).select(*docs.columns).union(read.where(blank).select(*docs.columns))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talentlake.llm.frames import first_of, map_slices, texts_of
+from talentlake.llm.frames import first_of, map_slices, slices, texts_of
 from talentlake.llm.labelled import labelled_sample
 
 MAX_LABELLED = 6_000
@@ -197,6 +197,18 @@ def quality(
 ) -> DataFrame:
     """``docs``, all columns, with ``expected_grade``, ``tail`` (probability of ``tail_grade``
     or better) and ``selected``; these names must be free (``first_of`` finds free ones)."""
+    name = first_of(["graded"], docs.columns)["graded"]
+    graded = _graded(docs, name, model, tail_grade, text)
+    return graded.select(
+        *docs.columns,
+        F.col(f"{name}.expected").alias("expected_grade"),
+        F.col(f"{name}.tail").alias("tail"),
+        (F.col(f"{name}.tail") >= min_tail).alias("selected"),
+    )
+
+
+def _graded(docs: DataFrame, name: str, model: Model, tail_grade: int, text: str) -> DataFrame:
+    """``docs`` with a struct column of the expected grade and the tail probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def grades(texts: pa.Array) -> pa.Array:
@@ -204,24 +216,18 @@ def quality(
         if not len(texts):
             return pa.StructArray.from_arrays([pa.array([], pa.float64())] * 2, names=names)
         parts = []
-        for start in range(0, len(texts), 512):
-            at_most = shared.value.at_most([t or "" for t in texts.slice(start, 512).to_pylist()])
+        column = pa.RecordBatch.from_arrays([texts], names=["text"])
+        for batch in slices(iter([column])):
+            at_most = shared.value.at_most(texts_of(batch))
             parts.append(np.stack([(1 - at_most).sum(axis=1), 1 - at_most[:, tail_grade - 1]]))
         both = np.concatenate(parts, axis=1)
         return pa.StructArray.from_arrays([pa.array(both[0]), pa.array(both[1])], names=names)
 
-    name = first_of(["graded"], docs.columns)["graded"]
-    graded = docs.withColumn(name, F.arrow_udf(grades, "struct<expected:double,tail:double>")(F.col(text)))
-    return graded.select(
-        *docs.columns,
-        F.col(f"{name}.expected").alias("expected_grade"),
-        F.col(f"{name}.tail").alias("tail"),
-        (F.col(f"{name}.tail") >= min_tail).alias("selected"),
-    )
+    return docs.withColumn(name, F.arrow_udf(grades, "struct<expected:double,tail:double>")(F.col(text)))
 
 
 def selected(docs: DataFrame, model: Model, tail_grade: int = TAIL_GRADE, min_tail: float = MIN_TAIL, text: str = "text") -> DataFrame:
     """Rows of ``docs``, columns as they are, whose tail probability is high enough."""
-    names = first_of(["body"], docs.columns)
-    kept = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias(names["body"]))
-    return quality(kept, model, tail_grade, min_tail, names["body"]).where("selected").select("row.*")
+    name = first_of(["graded"], docs.columns)["graded"]
+    graded = _graded(docs, name, model, tail_grade, text)
+    return graded.where(F.col(f"{name}.tail") >= min_tail).select(*docs.columns)

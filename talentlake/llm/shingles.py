@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS = 5
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
 _STEP = 0x9E3779B97F4A7C15
 
 
