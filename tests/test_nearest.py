@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from reference_cascade import distance, last_name, value_order
+from talentlake.functions import text
+from talentlake.operators import nearest
 from talentlake.operators.matching import listed_names, with_name_keys
 from talentlake.operators.nearest import BLANK, edit_patterns, nearest_names
 
@@ -81,3 +83,15 @@ def test_edit_patterns(spark):
     patterns = spark.range(1).select(edit_patterns(F.lit("ab"), 1)).first()[0]
     assert sorted(patterns) == sorted(["ab", "b", "a", BLANK + "b", "a" + BLANK])
     assert spark.range(1).select(edit_patterns(F.lit(""))).first()[0] == [""]
+
+
+def test_signatures_are_never_broadcast(spark, case):
+    """Of hundreds a name, while their size is guessed from the names'."""
+    _, left, _, listed = case
+    name = F.col("name_normalized")
+    probes = left.select(name, text.last_name(name).alias("last_name"), text.given_part(name).alias("given"))
+    targets = listed.select("last_name", text.given_part(F.col("v_name")).alias("v_given"), "v_name", "value")
+    for found, key in ((nearest._by_patterns(probes, targets, 10), "signature"), (nearest._by_segments(probes, targets, 10), "segment")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join [" in line and key in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
