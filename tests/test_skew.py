@@ -119,3 +119,50 @@ def test_a_cascade_deletes_its_tables(spark):
         paths = [table.stored_at for table in (cascade.listed, cascade.decisions, cascade.nearest, cascade.near)]
         assert all(Path(path).exists() for path in paths)
     assert not any(Path(path).exists() for path in paths)
+
+
+def _above(plan, node):
+    """What the rows of the topmost such node pass on their way out."""
+    return plan[: plan.index(node)]
+
+
+def test_pairs_of_level_two_are_not_shuffled(spark, small_thresholds):
+    """They grow with the square of a last name's rows; before, they were joined to the roster rows."""
+    roster = matching.with_name_keys(
+        spark.createDataFrame(
+            [(i, f"a{i} lo", "t", "l", "d") for i in range(40)],
+            "player_id long, player_name_api string, team_name string, league_name string, extraction_date string",
+        ),
+        "player_name_api",
+    )
+    values = matching.with_name_keys(
+        spark.createDataFrame(
+            [(f"a{i}x lo", float(i), "r") for i in range(40)],
+            "player_name string, market_value_eur double, market_value_raw string",
+        ),
+        "player_name",
+    )
+    with Cascade(roster, values) as cascade:
+        rows = matching.initial_rows(roster, values, cascade.decisions)
+        assert rows.count() == 1600
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        top = next(line for line in plan.splitlines() if "Join [" in line)
+        assert "last_name" in top and "Exchange" not in _above(plan, top)
+
+
+def test_only_near_pairs_leave_a_block(spark, small_thresholds):
+    """All pairs of a last name, of which there may be thousands a name, are not sorted."""
+    names = spark.createDataFrame([("al lo",), ("bo xy",)], "name_normalized string")
+    values = [("all lo", 1.0, "a"), ("zzzzzz lo", 2.0, "b")]
+    listed = matching.listed_names(
+        matching.with_name_keys(
+            spark.createDataFrame(values, "player_name string, market_value_eur double, market_value_raw string"),
+            "player_name",
+        )
+    )
+    best = nearest_names(names, listed)
+    assert {tuple(r) for r in best.collect()} == {("al lo", 1, "all lo", 1.0, "a"), ("bo xy", None, None, None, None)}
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    outer = next(line for line in plan.splitlines() if "Join [" in line and "LeftOuter" in line)
+    assert "levenshtein" in outer
+    assert " Exchange" not in _above(plan, outer)
