@@ -1,5 +1,6 @@
 """A third of the roster under one name: the joins that read stored tables must split it."""
 
+import time
 from pathlib import Path
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from talentlake.operators import matching
 from talentlake.operators.cascade import Cascade
 from talentlake.operators.nearest import nearest_names
-from talentlake.workspace import fresh_path, shared_folder, stored
+from talentlake.workspace import CLEANUP, fresh_path, shared_folder, stored
 
 ROWS = 60_000
 SETTINGS = {
@@ -166,3 +167,43 @@ def test_only_near_pairs_leave_a_block(spark, small_thresholds):
     outer = next(line for line in plan.splitlines() if "Join [" in line and "LeftOuter" in line)
     assert "levenshtein" in outer
     assert " Exchange" not in _above(plan, outer)
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(CLEANUP)
+    assert len(stored(spark.range(1000).repartition(4, "id"), "dealt").collect()) == 1000
+    limit = time.time() + 20
+    while (left := shuffled() - before) and time.time() < limit:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(CLEANUP) == setting
+
+
+def test_levels_share_the_shuffle_of_the_roster(spark, small_thresholds):
+    """Also where an output leaves out the keys that level two joins by."""
+    roster = stored(
+        matching.with_name_keys(
+            spark.createDataFrame(
+                [(1, "Jo Ba", "t", "l", "d"), (2, "J. Ba", "t", "l", "d"), (3, None, "t", "l", "d")],
+                "player_id int, player_name_api string, team_name string, league_name string, extraction_date string",
+            ),
+            "player_name_api",
+        ),
+        "roster",
+    )
+    values = spark.createDataFrame([("jo ba", 1.0, "1")], "player_name string, market_value_eur double, market_value_raw string")
+    with Cascade(roster, stored(matching.with_name_keys(values, "player_name"), "values")) as cascade:
+        rows = cascade.rows().select("player_id", "player_name_api", "team_name", "match_type")
+        assert {(r.player_id, r.match_type) for r in rows.collect()} == {(1, "exact"), (2, "lastname_initial")}
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "ReusedExchange" in plan[: plan.index("Initial Plan")]
+        winners = matching.best_candidates(roster, cascade.nearest)
+        assert set(winners.columns) >= set(roster.columns)
+        plan = winners._jdf.queryExecution().executedPlan().toString()
+        assert "last_name" not in plan[plan.index("Join [") :]
