@@ -37,10 +37,21 @@ def _compositions() -> list[tuple[str, str]]:
 
 def compose_accents(text: Column) -> Column:
     """Latin letters followed by combining marks as single letters. Text without marks, nearly
-    all text, is only looked at."""
-    pairs = F.array(*[F.struct(F.lit(a).alias("apart"), F.lit(b).alias("one")) for a, b in _compositions()])
-    composed = F.aggregate(pairs, text, lambda t, pair: F.replace(t, pair["apart"], pair["one"]))
-    return F.when(text.rlike(COMBINING), composed).otherwise(text)
+    all text, is only looked at, and other text is searched for the letters of the marks it has.
+    Letters with equally many marks never overlap, so their order among each other is free."""
+    by_mark: dict[tuple[int, str], list[Column]] = {}
+    for apart, letter in _compositions():
+        pair = F.struct(F.lit(apart).alias("apart"), F.lit(letter).alias("one"))
+        by_mark.setdefault((len(unicodedata.normalize("NFD", letter)), apart[-1]), []).append(pair)
+    steps = F.array(
+        *[F.struct(F.lit(mark).alias("mark"), F.array(*pairs).alias("pairs")) for (_, mark), pairs in by_mark.items()]
+    )
+
+    def with_mark(t: Column, step: Column) -> Column:
+        joined = F.aggregate(step["pairs"], t, lambda u, pair: F.replace(u, pair["apart"], pair["one"]))
+        return F.when(F.contains(t, step["mark"]), joined).otherwise(t)
+
+    return F.when(text.rlike(COMBINING), F.aggregate(steps, text, with_mark)).otherwise(text)
 
 
 def normalize_name(name: Column, compose: bool = False) -> Column:

@@ -385,9 +385,10 @@ def money_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decomposed(letters: Column) -> Column:
     """Text whose folding letters are written as a letter and a combining mark."""
-    apart = [(c, unicodedata.normalize("NFD", c)) for c in FOLD_FROM]
-    pairs = F.array(*[F.struct(F.lit(one).alias("one"), F.lit(two).alias("apart")) for one, two in apart])
-    return F.aggregate(pairs, letters, lambda t, pair: F.replace(t, pair["one"], pair["apart"]))
+    apart = letters
+    for one in FOLD_FROM:
+        apart = F.replace(apart, F.lit(one), F.lit(unicodedata.normalize("NFD", one)))
+    return F.when(letters.rlike(f"[{FOLD_FROM}]"), apart).otherwise(letters)
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:

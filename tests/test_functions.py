@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talentlake.functions import days, money, text
+from talentlake.plans import inputs
 
 
 def column(spark, values, expression, type_name="string"):
@@ -131,3 +132,19 @@ def test_days(spark):
     assert column(spark, ["20240131", None], days.iso_day)[0] == "2024-01-31"
     run_day = lambda c: days.default_run_day(c.cast("date"))
     assert column(spark, ["2024-03-01", "2025-01-01"], run_day) == ["20240229", "20241231"]
+
+
+def test_marks_that_a_text_lacks_cost_one_look(spark):
+    """Letters are searched only for the marks found; before, every text with a mark was searched for all."""
+    rows = spark.createDataFrame([("u\u0308\u0304 a\u030a e\u0301\u0302 x\u0301",)], "x string")
+    composed = rows.select(text.compose_accents(F.col("x")).alias("y"))
+    assert composed.first().y == "\u01d6 \u00e5 \u00e9\u0302 x\u0301"
+    plan = composed._jdf.queryExecution().analyzed().toString()
+    assert plan.index("Contains") < plan.index("replace(")
+
+
+def test_only_texts_with_accents_are_taken_apart(spark):
+    rows = spark.createDataFrame([(letters,) for letters in (text.FOLD_FROM, "plain", "", None)], "x string")
+    apart = rows.select(inputs.decomposed(F.col("x")).alias("y"))
+    assert [r.y for r in apart.collect()] == [unicodedata.normalize("NFD", text.FOLD_FROM), "plain", "", None]
+    assert "RLIKE" in apart._jdf.queryExecution().analyzed().toString()
