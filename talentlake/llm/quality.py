@@ -38,6 +38,8 @@ BUCKETS = 1 << 15  # of each kind of trigram
 SCALE = 30.0
 RATIOS = 7
 STEPS = 150
+# Bytes of texts that are hashed at once: every character becomes about fifty bytes of arrays.
+HASHED_BYTES = 250_000
 
 
 def _classes() -> np.ndarray:
@@ -217,7 +219,7 @@ def _graded(docs: DataFrame, name: str, model: Model, tail_grade: int, text: str
             return pa.StructArray.from_arrays([pa.array([], pa.float64())] * 2, names=names)
         parts = []
         column = pa.RecordBatch.from_arrays([texts], names=["text"])
-        for batch in slices(iter([column])):
+        for batch in slices(iter([column]), size=HASHED_BYTES):
             at_most = shared.value.at_most(texts_of(batch))
             parts.append(np.stack([(1 - at_most).sum(axis=1), 1 - at_most[:, tail_grade - 1]]))
         both = np.concatenate(parts, axis=1)

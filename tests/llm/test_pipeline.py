@@ -138,3 +138,16 @@ def test_edges_go_through_all_stages(spark):
             assert name == "packing" or out.columns == docs.columns
             frame = stored(out, name)  # as between the stages of a run
             assert (frame.count() == 0) == (start is not docs)
+
+
+@pytest.mark.parametrize("before, after", [("10000", "1000"), ("0", "1000"), ("64", "64")])
+def test_texts_go_to_python_in_short_batches(spark, before, after):
+    """A batch of 10,000 texts, one for each task, did not fit beside the rest of an executor."""
+    setting = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    try:
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
+        docs = spark.read.parquet(f"{DATA}/documents.parquet")
+        corpus_pipeline.secret_stage(spark, docs, DATA)
+        assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == after
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, setting)
