@@ -30,7 +30,7 @@ SEPARATOR = 1
 BROADCAST_TASKS = 4_000_000
 # Words, and what stands between white space, whose ids a worker remembers.
 REMEMBERED_WORDS = 400_000
-REMEMBERED_CHUNKS = 200_000
+REMEMBERED_CHUNKS = 400_000
 
 # Texts of these characters only are lower-cased and split here as the tokenizer's own
 # normaliser and pattern do it; all others go through the tokenizer whole.
@@ -83,24 +83,38 @@ class WordTokenizer:
     def _learn(self, chunks: set[str]) -> None:
         if len(self.known) > REMEMBERED_CHUNKS:
             self.known.clear()
-        new = [chunk for chunk in chunks if chunk not in self.known]
-        split = list(map(_SPLIT.findall, new))
+        split = list(map(_SPLIT.findall, chunks))
         self._learn_words({word for own in split for word in own})
         words = self.words
-        for chunk, own in zip(new, split):
+        for chunk, own in zip(chunks, split):
             self.known[chunk] = words[own[0]] if len(own) == 1 else b"".join([words[word] for word in own])
 
     def encode(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text) or any(token in text for token in _ADDED):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, dtype="<u4").tobytes()
-        # No word goes beyond white space, so the ids between two spaces stand for themselves.
-        chunks = text.lower().split()
-        try:
-            return b"".join(map(self.known.__getitem__, chunks))
-        except KeyError:
-            self._learn(set(chunks))
-            return b"".join([self.known[chunk] for chunk in chunks])
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text. What is new in any of them is learnt in one go, and what is known
+        is looked up once."""
+        chunks, ends, whole = [], [], {}
+        for i, text in enumerate(texts):
+            if not _PLAIN.fullmatch(text) or any(token in text for token in _ADDED):
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                whole[i] = np.array(ids, dtype="<u4").tobytes()
+            else:
+                # No word goes beyond white space, so the ids between two spaces stand for themselves.
+                chunks += text.lower().split()
+            ends.append(len(chunks))
+        found = list(map(self.known.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            self._learn({chunks[i] for i in new})
+            for i in new:
+                found[i] = self.known[chunks[i]]
+        out, start = [], 0
+        for i, end in enumerate(ends):
+            out.append(whole[i] if i in whole else b"".join(found[start:end]))
+            start = end
+        return out
 
 
 _tokenizers: dict[str, WordTokenizer] = {}  # of this worker, by path
@@ -117,10 +131,10 @@ def tokenised(docs: DataFrame, path: str, separator: int, doc_id: str, text: str
     tail = np.array([separator], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, total = tokenizer(path).encode, 0
+        encode_all, total = tokenizer(path).encode_all, 0
         part = TaskContext.get().partitionId()
         for batch in slices(batches):
-            ids = [encode(t) + tail for t in texts_of(batch)]
+            ids = [x + tail for x in encode_all(texts_of(batch))]
             sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
             ends = total + np.cumsum(sizes)
             total = int(ends[-1]) if len(ends) else total

@@ -35,6 +35,25 @@ def test_ids_equal_the_tokenizers(plain):
         assert np.frombuffer(ours.encode(text), "<u4").tolist() == expected, text
 
 
+def test_what_is_new_is_learnt_in_one_go(plain):
+    ours, calls = WordTokenizer(tokenizer_path()), []
+    encode = ours.tokenizer.encode_batch_fast
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(texts)
+            return encode(texts, **options)
+
+    texts = ["one two, two", "", "two; three", "one four"]
+    ours.tokenizer = Counted()
+    for _ in range(2):
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in ours.encode_all(texts)]
+        assert found == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(calls) == 1
+    ours.tokenizer = plain
+    assert [np.frombuffer(x, "<u4").tolist() for x in ours.encode_all(TEXTS)] == [plain.encode(t, add_special_tokens=False).ids for t in TEXTS]
+
+
 def check(pieces, texts, plain, length):
     """Every id in one piece; sequences gapless and full but for the last."""
     expected = {k: [*plain.encode(t or "", add_special_tokens=False).ids, 1] for k, t in texts.items()}
