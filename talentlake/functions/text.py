@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -59,9 +60,11 @@ def normalize_name(name: Column, compose: bool = False) -> Column:
     letters with combining marks become single letters first, so that both spellings fold alike."""
     if compose:
         name = compose_accents(name)
-    # Folding and breaking touch disjoint characters, so one translate pass does both.
-    letters = F.translate(F.lower(F.trim(name)), FOLD_FROM + BREAKS, FOLD_TO + " " * len(BREAKS))
-    return F.trim(F.regexp_replace(letters, r"\s+", " "))
+    letters = F.lower(F.trim(name))
+    # Only letters of more than a byte fold; most names have none and need no translating.
+    folded = F.when(F.octet_length(letters) > F.length(letters), fold_accents(letters)).otherwise(letters)
+    # Breaks and white space are disjoint from what folds, so one pass does both.
+    return F.trim(F.regexp_replace(folded, f"[\\s{re.escape(BREAKS)}]+", " "))
 
 
 def last_name(normalized: Column) -> Column:

@@ -148,3 +148,13 @@ def test_only_texts_with_accents_are_taken_apart(spark):
     apart = rows.select(inputs.decomposed(F.col("x")).alias("y"))
     assert [r.y for r in apart.collect()] == [unicodedata.normalize("NFD", text.FOLD_FROM), "plain", "", None]
     assert "RLIKE" in apart._jdf.queryExecution().analyzed().toString()
+
+
+def test_plain_names_are_not_translated(spark):
+    """The form before, which translated every letter, gives the same names."""
+    odd = ["", " ", "A-b.c'd", "--", "\u00c9l\u00e9 \u00d1o-\u00fc", "\u00a0a\u00a0", "a\t\n\u000bb", "\u0130x", "e\u0301-f", "\U0001f600.-x", None]
+    names = spark.createDataFrame([(x,) for x in odd], "x string")
+    all_letters = F.translate(F.lower(F.trim("x")), text.FOLD_FROM + text.BREAKS, text.FOLD_TO + " " * len(text.BREAKS))
+    both = names.select(text.normalize_name(F.col("x")).alias("y"), F.trim(F.regexp_replace(all_letters, r"\s+", " ")).alias("z"))
+    assert both.where("not y <=> z").collect() == []
+    assert "octet_length" in names.select(text.normalize_name(F.col("x")))._jdf.queryExecution().analyzed().toString()
