@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from talentlake.plans import inputs
+from talentlake.plans import inputs, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -35,3 +35,21 @@ def test_one_envelope_a_file_for_odd_numbers(spark, tmp_path):
     squads = inputs.roster_envelopes(spark, str(tmp_path)).select("shard", F.explode("response.players").alias("p"))
     counted = squads.groupBy("shard").agg(F.sum(F.size("p")).cast("int")).collect()
     assert {tuple(row) for row in counted} == wanted
+
+
+@pytest.mark.parametrize("name", ("exact_match", "residual_split", "lastname_initial_match", "name_normalize", "edit_distance"))
+def test_what_is_read_once_is_not_landed(spark, name):
+    before = dict(inputs._landed)
+    plan = queries.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert inputs._landed == before
+    assert "REPARTITION_BY_NUM" in plan  # the texts are dealt, a file of them is not one task
+
+
+def test_landed_sides_hold_no_cut_keys(spark):
+    roster, values = inputs.roster(spark, SF_DIR), inputs.values(spark, SF_DIR)
+    assert {"name_normalized", "last_name", "first_initial"} <= set(roster.columns) & set(values.columns)
+    for key, path in inputs._landed.items():
+        if key[-1] in ("roster_named", "values_named"):
+            assert "name_normalized" in (landed := spark.read.parquet(path).columns)
+            assert not {"last_name", "first_initial", "player_name"} & set(landed)
+    assert not any(key[-1] in ("people_of_documents", "roster_keyed") for key in inputs._landed)

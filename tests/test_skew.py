@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from talentlake.operators import matching
 from talentlake.operators.cascade import Cascade
 from talentlake.operators.nearest import nearest_names
+from talentlake.plans.queries import QUERIES
 from talentlake.workspace import CLEANUP, fresh_path, shared_folder, stored
 
 ROWS = 60_000
@@ -207,3 +208,29 @@ def test_levels_share_the_shuffle_of_the_roster(spark, small_thresholds):
         assert set(winners.columns) >= set(roster.columns)
         plan = winners._jdf.queryExecution().executedPlan().toString()
         assert "last_name" not in plan[plan.index("Join [") :]
+
+
+def test_output_rows_stand_beside_few_tables(spark, small_thresholds):
+    """Level three is done, and what it came from gone, before rows are shuffled for the output."""
+    roster = spark.createDataFrame(
+        [(1, "Jo Ba", "t", "l", "d"), (2, "Ja Ba", "t", "l", "d"), (3, None, "t", "l", "d")],
+        "player_id int, player_name_api string, team_name string, league_name string, extraction_date string",
+    )
+    values = spark.createDataFrame([("jo ba", 1.0, "1")], "player_name string, market_value_eur double, market_value_raw string")
+    sides = (matching.with_name_keys(roster, "player_name_api"), matching.with_name_keys(values, "player_name"))
+    before = _tables(spark)
+    with Cascade(*sides) as cascade:
+        cascade.settle()
+        rows = cascade.rows()
+        assert sorted(path.name for path in _tables(spark) - before) == ["decisions", "near"]
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan
+        assert {(r.player_id, r.match_type) for r in rows.collect()} == {(1, "exact"), (2, "lastname_initial")}
+        assert cascade.listed.count() == 1 and cascade.nearest.count() == 0
+    for name in ("match_cascade", "match_cascade_keep_unmatched", "cascade_union"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan
+
+
+def _tables(spark):
+    return set(Path(spark.conf.get("spark.checkpoint.dir")).glob("talentlake/*/*"))
