@@ -276,3 +276,16 @@ def test_default_teams(spark):
     assert assembly.or_default(none, defaults).count() == 19
     some = spark.createDataFrame([(1, "A")], defaults.schema)
     assert [tuple(r) for r in assembly.or_default(some, defaults).collect()] == [(1, "A")]
+
+
+@pytest.mark.parametrize("day", (None, "20240101"))
+def test_bulk_files_may_be_compressed(spark, tmp_path, day):
+    """What they say of a document is mostly the same, some 300 bytes of each."""
+    final = spark.createDataFrame([(1, "A", "20240101"), (2, "B", "20240101")], "player_id int, team_name string, event_time string")
+    documents = search_documents.search_documents(final)
+    paths = [str(tmp_path / form) for form in ("none", "gzip")]
+    for path, form in zip(paths, ("none", "gzip")):
+        assert search_documents.write_bulk(documents, path, day, form) == {"indexed": 2, "failed": 0}
+    assert not list((tmp_path / "gzip").rglob("*.txt")) and list((tmp_path / "gzip").rglob("*.txt.gz"))
+    lines = [sorted(r.value for r in spark.read.text(path).collect()) for path in paths]
+    assert lines[0] == lines[1] and len(lines[0]) == 4
