@@ -80,6 +80,19 @@ def map_slices(
     return df.mapInArrow(run, schema)
 
 
+_remembered: dict[tuple, Any] = {}  # of this worker
+
+
+def remembered(make: Callable[..., Any], *args: Any) -> Any:
+    """``make(*args)``, made once in a worker and kept for the tasks that follow. Workers outlive
+    a query, so only one such thing is kept: what another operator remembered goes."""
+    key = (make, *args)
+    if key not in _remembered:
+        _remembered.clear()
+        _remembered[key] = make(*args)
+    return _remembered[key]
+
+
 def typed(df: DataFrame, name: str) -> str:
     """A column's type as schema text, so that ids of any type pass through Arrow."""
     return df.schema[name].dataType.simpleString()

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talentlake.llm.frames import slices, texts_of, typed
+from talentlake.llm.frames import remembered, slices, texts_of, typed
 from talentlake.workspace import stored
 
 LENGTH = 2048
@@ -117,21 +117,12 @@ class WordTokenizer:
         return out
 
 
-_tokenizers: dict[str, WordTokenizer] = {}  # of this worker, by path
-
-
-def tokenizer(path: str) -> WordTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
-
-
 def tokenised(docs: DataFrame, path: str, separator: int, doc_id: str, text: str) -> DataFrame:
     """Per document its ids, and where they lie among the ids of its task."""
     tail = np.array([separator], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all, total = tokenizer(path).encode_all, 0
+        encode_all, total = remembered(WordTokenizer, path).encode_all, 0
         part = TaskContext.get().partitionId()
         for batch in slices(batches):
             ids = [x + tail for x in encode_all(texts_of(batch))]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from talentlake.llm.frames import remembered
+
 WORDS = 5
 REMEMBERED_WORDS = 200_000
 _STEP = 0x9E3779B97F4A7C15
@@ -20,11 +22,8 @@ class Hashes(dict):
         return value
 
 
-_hashes = Hashes()  # of this worker
-
-
 def word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(remembered(Hashes).__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

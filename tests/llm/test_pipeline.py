@@ -1,14 +1,19 @@
 """The corpus pipeline, stage by stage against what each must do to its own input."""
 
+import gc
+import weakref
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from talentlake.llm import quality
+from talentlake.llm import frames, quality
 from talentlake.llm.line_dedup import line_words
+from talentlake.llm.packing import WordTokenizer
 from talentlake.llm.queries import grade, tokenizer_path
 from talentlake.llm.secrets import MARK, candidates
+from talentlake.llm.shingles import shingles
 from talentlake.workspace import stored
 
 DATA = "/root/testdata/sf0.001"
@@ -151,3 +156,14 @@ def test_texts_go_to_python_in_short_batches(spark, before, after):
         assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == after
     finally:
         spark.conf.set(corpus_pipeline.BATCH_SETTING, setting)
+
+
+def test_a_worker_keeps_what_one_operator_remembers():
+    """Words that packing remembers stayed in the workers that later compare near copies."""
+    tokenizer = frames.remembered(WordTokenizer, tokenizer_path())
+    assert frames.remembered(WordTokenizer, tokenizer_path()) is tokenizer
+    gone = weakref.ref(tokenizer)
+    del tokenizer
+    shingles("some words of a text that is long enough")
+    gc.collect()
+    assert gone() is None and len(frames._remembered) == 1
