@@ -9,8 +9,9 @@ a known distribution, so the search always follows the best prefix and draws the
 beside it below that bound (Maddison et al. 2014; Kool et al. 2019). The best completion keeps
 its prefix's value, so a search goes straight down once per sample.
 
-Pieces never cross from a word to the white space after it. The lattices of a batch's distinct
-words are built and summed together, and the descents of all its texts are array work too.
+Pieces never cross from a word to the white space after it. The lattices of distinct words are
+built and summed together, a batch's new ones at a time, and kept for later batches up to a bound;
+the descents of all texts of a batch are array work too.
 Random numbers are hashes of the row key and the place of their use, so a row's samples depend
 on no other row and no partitioning. A sample comes with its log-probability, its perturbed
 value, and the logarithm of its inclusion score 1 - exp(-exp(log_prob - kappa)), kappa being the
@@ -25,9 +26,7 @@ Texts are read whole. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +35,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talentlake.llm.frames import map_slices, texts_of, typed
+from talentlake.llm.frames import map_slices, remembered, texts_of, typed
 from talentlake.llm.shingles import mixed
 
 SAMPLES = 2
 THETA = 1.0
 SEED = 41
-BATCH = 1_500_000  # characters of texts at a time; a longer text is a batch of its own
+BATCH = 2_000_000  # characters of texts at a time; a longer text is a batch of its own
 WINDOW = 40.0  # how much less likely, as a logarithm, prefixes are that are looked at first
 LIFT = 38.0  # more than -log(-log(u)) of any u below 1 that 53 bits hold
 COMMON = 384  # code points that the trie's array covers
+REMEMBERED_EDGES = 6_000_000  # of words of earlier batches; about 50 bytes each with their states
 
-_WORD = re.compile("▁*[^▁]+|▁+")
+_SPACE = np.frombuffer("▁".encode(), dtype=np.uint8)
 RUNGS = 2**36  # steps of a state's ladder
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,6 +90,7 @@ class Pieces:
                 self.pieces[chr(b)] = i = p.piece_to_id(f"<0x{b:02X}>")
                 self.weights[i] = self.byte_weight
         self._plant()
+        self.lexicon = Lexicon()
 
     def _plant(self) -> None:
         """The trie of pieces in common characters; node 0 is the root, -1 no node."""
@@ -179,13 +180,8 @@ class Pieces:
         return Lattices(whole[0], whole[1], whole[2], np.array(weight, dtype=np.float64), whole[3], spelled)
 
 
-_models: dict[tuple[str, float], Pieces] = {}  # of this worker
-
-
 def pieces(path: str, theta: float) -> Pieces:
-    if (path, theta) not in _models:
-        _models[path, theta] = Pieces(path, theta)
-    return _models[path, theta]
+    return remembered(Pieces, path, theta)
 
 
 def _stirred(seed: np.ndarray, place: np.ndarray | int) -> np.ndarray:
@@ -199,60 +195,194 @@ def _uniform(seed: np.ndarray, *places: np.ndarray | int) -> np.ndarray:
     return ((seed >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
+def _shares(edges: np.ndarray, first_edge: np.ndarray, target: np.ndarray, weight: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Logarithm of each edge's share of all completions, summed from the words' ends."""
+    left = last - np.arange(len(last))
+    furthest = int(left.max(initial=0))
+    order = np.argsort(left.astype(np.uint16) if furthest < 1 << 16 else left, kind="stable")
+    cuts = np.searchsorted(left[order], np.arange(1, furthest + 2))
+    # Edges in the order of their states, so that states equally far from an end are one run.
+    count = edges[order]
+    stops = np.cumsum(count)
+    moved = _ranges(first_edge[order], count)
+    target, weight = target[moved], weight[moved]
+    after = np.zeros(len(last))
+    share = np.empty(len(weight))
+    for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        counts = count[start:stop]
+        low, high = int(stops[start] - count[start]), int(stops[stop - 1])
+        heads = stops[start:stop] - counts - low
+        value = weight[low:high] + after[target[low:high]]
+        top = np.maximum.reduceat(value, heads)
+        total = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts)), heads))
+        after[order[start:stop]] = total
+        share[moved[low:high]] = value - np.repeat(total, counts)
+    return share
+
+
+def split_words(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, and how many each has. A word is white space and what follows up to
+    the next white space; white space that ends a text is a word too."""
+    raw = [text.encode() for text in texts]
+    ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
+    data = b"".join(raw)
+    codes = np.frombuffer(data, dtype=np.uint8)
+    if not len(codes):
+        return pa.array([], type=pa.large_string()), np.zeros(len(texts), dtype=np.int64)
+    at = np.flatnonzero(codes[:-2] == _SPACE[0])
+    at = at[(codes[at + 1] == _SPACE[1]) & (codes[at + 2] == _SPACE[2])]
+    begins = np.zeros(len(codes), dtype=bool)
+    begins[at[np.diff(at, prepend=-4) != 3]] = True
+    begins[(ends - np.diff(ends, prepend=0))[np.diff(ends, prepend=0) > 0]] = True
+    starts = np.flatnonzero(begins)
+    offsets = np.append(starts, len(codes))
+    words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return words, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers ``first``, ``first`` + 1 and so on, ``count`` of them, of each range one after the other."""
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+
+
+class Lexicon(dict):
+    """Numbers of words, and one table of their states (word, place) and edges (pieces). Words
+    stay for the texts that follow; beyond ``REMEMBERED_EDGES`` those go that only one batch had."""
+
+    STATES = {"edges": np.int64, "first_edge": np.int64}  # of which a word's last state has none
+    EDGES = {"source": np.int64, "rank": np.int32, "target": np.int64, "piece": np.int32, "share": np.float64, "ladder": np.int64}
+    WORDS = {"state_of_word": np.int64, "states_of_word": np.int32, "edge_of_word": np.int64, "edges_of_word": np.int32, "met": np.int32}
+
+    def __init__(self):
+        super().__init__()
+        self._start()
+
+    def _start(self) -> None:
+        self.clear()
+        self.missed: list[str] = []
+        self.spelled: dict[int, bytes] = {}
+        # Room for as much as stays; what is not written takes no memory.
+        self._room = {name: np.empty(REMEMBERED_EDGES, dtype=kind) for name, kind in (self.STATES | self.EDGES | self.WORDS).items()}
+        for name, room in self._room.items():
+            setattr(self, name, room[:0])
+
+    def __missing__(self, word: str) -> int:
+        self.missed.append(word)
+        self[word] = number = len(self)
+        return number
+
+    def _append(self, name: str, values: np.ndarray) -> None:
+        """Room grows by halves, so that a table is seldom copied."""
+        used, room = len(getattr(self, name)), self._room[name]
+        if used + len(values) > len(room):
+            self._room[name] = np.empty(used + len(values) + used // 2, dtype=room.dtype)
+            self._room[name][:used] = room[:used]
+            room = self._room[name]
+        room[used : used + len(values)] = values
+        setattr(self, name, room[: used + len(values)])
+
+    def numbers(self, model: Pieces, occurrences: pa.Array) -> np.ndarray:
+        """Each word's number; words not met before enter the table."""
+        coded = occurrences.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        found = np.fromiter(map(self.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        if self.missed:
+            self._learn(model, self.missed)
+            self.missed = []
+        self.met[found] += 1
+        return found[coded.indices.to_numpy()]
+
+    def _learn(self, model: Pieces, words: list[str]) -> None:
+        known = model.are_common(words)
+        order = np.argsort(~known, kind="stable")
+        common = [w for w, is_common in zip(words, known.tolist()) if is_common]
+        other = [w for w, is_common in zip(words, known.tolist()) if not is_common]
+        lattices = model.common_lattices(common) + model.other_lattices(other)
+        sizes = lattices.places + 1  # the last state of a word has no edge
+        state_of_word = np.concatenate([[0], np.cumsum(sizes)])
+        total = int(state_of_word[-1])
+        final = np.zeros(total, dtype=bool)
+        final[state_of_word[1:] - 1] = True
+        edges = np.zeros(total, dtype=np.int64)
+        edges[~final] = lattices.edges
+        first_edge = np.cumsum(edges) - edges
+        source = np.repeat(np.arange(total), edges)
+        rank = np.arange(len(source)) - first_edge[source]
+        target = lattices.end + np.repeat(state_of_word[:-1], sizes)[source]
+        share = _shares(edges, first_edge, target, lattices.weight, np.repeat(state_of_word[1:] - 1, sizes))
+        # Ascending over all edges: a state's number, then the cumulated shares inside it. Whole
+        # numbers, so that a row's draws do not depend on what else is in the table.
+        running = np.cumsum(np.rint(np.exp(share) * RUNGS).astype(np.int64))
+        before = np.concatenate([[0], running])[first_edge[source]]
+        states, length = len(self.edges), len(self.source)
+        self.spelled |= {length + e: raw for e, raw in lattices.spelled.items()}
+        edge_of_word = np.concatenate([first_edge, [len(source)]])[state_of_word]
+        place = np.argsort(order, kind="stable")  # words are numbered as they came
+        for name, values in (
+            ("edges", edges),
+            ("first_edge", first_edge + length),
+            ("rank", rank),
+            ("piece", lattices.piece),
+            ("share", share),
+            ("ladder", (source + states) * RUNGS + np.minimum(running - before, RUNGS)),
+            ("source", source + states),
+            ("target", target + states),
+            ("state_of_word", (state_of_word[:-1] + states)[place]),
+            ("states_of_word", sizes[place]),
+            ("edge_of_word", (edge_of_word[:-1] + length)[place]),
+            ("edges_of_word", np.diff(edge_of_word)[place]),
+            ("met", np.zeros(len(words), dtype=np.int32)),
+        ):
+            self._append(name, values)
+
+    def forget(self) -> None:
+        """Keeps a table that is too large to words that were met again, if these are few enough."""
+        if len(self.source) <= REMEMBERED_EDGES:
+            return
+        words = np.flatnonzero(self.met > 1)
+        if 2 * int(self.edges_of_word[words].sum()) > REMEMBERED_EDGES:
+            self._start()
+            return
+        names, spelled = list(self), self.spelled
+        old = {name: getattr(self, name) for name in self._room}
+        self._start()
+        self.update((names[w], i) for i, w in enumerate(words.tolist()))
+        n_states, n_edges = old["states_of_word"][words].astype(np.int64), old["edges_of_word"][words].astype(np.int64)
+        states, edges = _ranges(old["state_of_word"][words], n_states), _ranges(old["edge_of_word"][words], n_edges)
+        state_of_word, edge_of_word = np.cumsum(n_states) - n_states, np.cumsum(n_edges) - n_edges
+        shift = state_of_word - old["state_of_word"][words]
+        on_states = np.repeat(edge_of_word - old["edge_of_word"][words], n_states)
+        on_edges = np.repeat(shift, n_edges)
+        moved = {"source": on_edges, "target": on_edges, "ladder": on_edges * RUNGS, "first_edge": on_states}
+        for name in self.STATES | self.EDGES:
+            values = old[name][states if name in self.STATES else edges]
+            self._append(name, values + moved[name] if name in moved else values)
+        for name, values in (
+            ("state_of_word", state_of_word),
+            ("states_of_word", n_states),
+            ("edge_of_word", edge_of_word),
+            ("edges_of_word", n_edges),
+            ("met", np.ones(len(words), dtype=np.int32)),
+        ):
+            self._append(name, values)
+        at = np.flatnonzero(self.piece < 0)
+        self.spelled = {e: spelled[o] for e, o in zip(at.tolist(), edges[at].tolist())}
+
+
 class Batch:
-    """The texts of a batch as one table of states (word, place) and edges (pieces)."""
+    """The texts of a batch over the table of the words met so far."""
 
     def __init__(self, model: Pieces, texts: list[str]):
-        words = [_WORD.findall(model.processor.normalize(text)) if text else [] for text in texts]
-        counts = np.array([len(ws) for ws in words], dtype=np.int64)
+        words, counts = split_words([model.processor.normalize(text) if text else "" for text in texts])
         self.last = np.cumsum(counts)
         self.first = self.last - counts
-        occurrences = list(chain.from_iterable(words))
-        distinct = list(dict.fromkeys(occurrences))
-        known = model.are_common(distinct).tolist()
-        common = [w for w, is_common in zip(distinct, known) if is_common]
-        other = [w for w, is_common in zip(distinct, known) if not is_common]
-        index = {w: i for i, w in enumerate(chain(common, other))}
-        self.word = np.fromiter(map(index.__getitem__, occurrences), dtype=np.int64, count=len(occurrences))
-        lattices = model.common_lattices(common) + model.other_lattices(other)
-        sizes = lattices.places + 1  # the last state of a word has no edge
-        self.state_of_word = np.concatenate([[0], np.cumsum(sizes)])
-        total = int(self.state_of_word[-1])
-        self.final = np.zeros(total, dtype=bool)
-        self.final[self.state_of_word[1:] - 1] = True
-        self.edges = np.zeros(total, dtype=np.int64)
-        self.edges[~self.final] = lattices.edges
-        self.first_edge = np.cumsum(self.edges) - self.edges
-        self.source = np.repeat(np.arange(total), self.edges)
-        base = np.repeat(self.state_of_word[:-1], sizes)
-        self.rank = np.arange(len(self.source)) - self.first_edge[self.source]
-        self.target = lattices.end + base[self.source]
-        self.piece, self.spelled = lattices.piece, lattices.spelled
-        self.share = self._shares(lattices.weight, np.repeat(self.state_of_word[1:] - 1, sizes))
-        # Ascending over all edges: a state's number, then the cumulated shares inside it. Whole
-        # numbers, so that a row's draws do not depend on what else is in the batch.
-        running = np.cumsum(np.rint(np.exp(self.share) * RUNGS).astype(np.int64))
-        before = np.concatenate([[0], running])[self.first_edge[self.source]]
-        self.ladder = self.source * RUNGS + np.minimum(running - before, RUNGS)
-
-    def _shares(self, weight: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Logarithm of each edge's share of all completions, summed from the words' ends."""
-        left = last - np.arange(len(last))
-        order = np.argsort(left, kind="stable")
-        cuts = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
-        after = np.zeros(len(last))
-        share = np.empty(len(weight))
-        for start, stop in zip(cuts[:-1], cuts[1:]):
-            states = order[start:stop]
-            count = self.edges[states]
-            heads = np.cumsum(count) - count
-            edge = np.repeat(self.first_edge[states] - heads, count) + np.arange(int(count.sum()))
-            value = weight[edge] + after[self.target[edge]]
-            top = np.maximum.reduceat(value, heads)
-            total = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, count)), heads))
-            after[states] = total
-            share[edge] = value - np.repeat(total, count)
-        return share
+        lexicon = model.lexicon
+        self.word = lexicon.numbers(model, words)
+        self.state_of_word = lexicon.state_of_word
+        self.edges, self.first_edge = lexicon.edges, lexicon.first_edge
+        self.source, self.rank, self.target = lexicon.source, lexicon.rank, lexicon.target
+        self.piece, self.spelled = lexicon.piece, lexicon.spelled
+        self.share, self.ladder = lexicon.share, lexicon.ladder
 
     def ids(self, edges: np.ndarray) -> bytes:
         piece = self.piece[edges]
@@ -275,13 +405,25 @@ class Batch:
         step = 0
         seed = _stirred(seed, place)
         while True:
-            going = ~self.final[state]
-            at, state = at[going], state[going]
+            choices = self.edges[state]
+            going = np.flatnonzero(choices)
+            if len(going) < len(at):
+                at, state, choices = at[going], state[going], choices[going]
             if not len(at):
                 break
-            u = _uniform(seed[at], step)
-            edge = np.searchsorted(self.ladder, state * RUNGS + (u * RUNGS).astype(np.int64), side="right")
-            edge = np.clip(edge, self.first_edge[state], self.first_edge[state] + self.edges[state] - 1)
+            edge = self.first_edge[state]
+            several = np.flatnonzero(choices > 1)
+            u = _uniform(seed[at[several]], step)
+            drawn = state[several] * RUNGS + (u * RUNGS).astype(np.int64)
+            low = edge[several]
+            last = low + choices[several] - 1
+            # A state has few edges, most of them soon passed or taken.
+            while len(several):
+                higher = np.flatnonzero(self.ladder[low] <= drawn)
+                several, drawn, low, last = several[higher], drawn[higher], low[higher] + 1, last[higher]
+                edge[several] = low
+                more = np.flatnonzero(low < last)
+                several, drawn, low, last = several[more], drawn[more], low[more], last[more]
             found.append((at, edge))
             state = self.target[edge]
             step += 1
@@ -333,6 +475,7 @@ def sample(model: Pieces, texts: list[str], keys: list[int], k: int) -> list[lis
         words, edges = batch.descend(word, state, seeds[owner], place)
         cuts = np.searchsorted(words, [batch.last[t[0]] for t in todo])
         at = 0
+        grown = []
         for (i, value, old_words, old_edges, start, edge), cut in zip(todo, cuts.tolist()):
             new_words, new_edges = words[at:cut], edges[at:cut]
             at = cut
@@ -341,52 +484,90 @@ def sample(model: Pieces, texts: list[str], keys: list[int], k: int) -> list[lis
                 new_words = np.concatenate([old_words, [start], new_words])
                 new_edges = np.concatenate([old_edges, [edge], new_edges])
                 kept = len(old_edges) + 1
-            _beside(batch, searches[i], new_words, new_edges, kept, value, seeds[i], turn)
-    return [_samples(batch, search) for search in searches]
+            gone = np.concatenate([[0.0], np.cumsum(batch.share[new_edges])])
+            searches[i].paths.append((new_words, new_edges, float(gone[-1]), value))
+            grown.append(Path(searches[i], new_edges, gone, kept, value))
+        _beside(batch, grown, _stirred(seeds[[t[0] for t in todo]], 1 + turn))
+    found = [_samples(batch, search) for search in searches]
+    model.lexicon.forget()
+    return found
+
+
+class Path:
+    """A path just found, and up to where the prefixes that leave it are looked at."""
 
+    def __init__(self, search: Search, edges: np.ndarray, gone: np.ndarray, kept: int, value: float):
+        self.search, self.edges, self.gone, self.kept, self.value = search, edges, gone, kept, value
+        self.look(gone[kept] - WINDOW)
 
-def _beside(batch: Batch, search: Search, words: np.ndarray, edges: np.ndarray, kept: int, value: float, seed: np.uint64, turn: int) -> None:
-    """Records a path and the best prefixes that leave it after its first ``kept`` steps."""
-    gone = np.concatenate([[0.0], np.cumsum(batch.share[edges])])
-    search.paths.append((words, edges, float(gone[-1]), value))
-    stirred = _stirred(np.array([seed]), 1 + turn)
-    reach = gone[kept] - WINDOW
-    while True:
+    def look(self, reach: float) -> None:
         # What leaves the path late is far less likely than what leaves it early.
-        stop = kept + int(np.searchsorted(-gone[kept : len(edges)], -reach, side="right"))
-        drawn, step, edge = _leaving(batch, edges[kept:stop], gone[kept:stop], value, stirred, kept)
-        if stop == len(edges):
-            break
-        if len(drawn) < search.keep:
-            reach -= WINDOW
-            continue
+        self.reach = reach
+        gone = self.gone[self.kept : len(self.edges)]
+        self.stop = self.kept + int(np.searchsorted(-gone, -reach, side="right"))
+
+    def settled(self, drawn: list[float]) -> bool:
+        """Whether none that leaves the path later can be among the best; ``drawn`` are the best
+        values so far, in descending order. Else the path is to be looked at further."""
+        if self.stop == len(self.edges):
+            return True
+        if len(drawn) < self.search.keep:
+            self.look(self.reach - WINDOW)
+            return False
         # No draw lifts a prefix by more than LIFT, so later ones stay below those found.
-        least = np.partition(drawn, len(drawn) - search.keep)[len(drawn) - search.keep]
-        if gone[stop] + LIFT < least:
-            break
-        reach = least - LIFT
-    if not len(drawn):
-        return
-    best = np.argpartition(-drawn, min(search.keep, len(drawn) - 1))[: search.keep]
-    own = len(search.paths) - 1
-    found = [(float(drawn[b]), own, int(step[b]), int(edge[b])) for b in best]
-    search.open = sorted([*search.open, *found], key=lambda x: (-x[0], x[1:]))[: search.keep]
+        if self.gone[self.stop] + LIFT < drawn[-1]:
+            return True
+        self.look(drawn[-1] - LIFT)
+        return False
+
+
+def _beside(batch: Batch, paths: list[Path], stirred: np.ndarray) -> None:
+    """Records the best prefixes that leave paths after the steps they kept."""
+    while paths:
+        lengths = np.array([p.stop - p.kept for p in paths])
+        owner = np.repeat(np.arange(len(paths)), lengths)
+        step = _ranges(np.array([p.kept for p in paths]), lengths)
+        drawn, at, edge = _leaving(
+            batch,
+            np.concatenate([p.edges[p.kept : p.stop] for p in paths]),
+            np.concatenate([p.gone[p.kept : p.stop] for p in paths]),
+            np.array([p.value for p in paths])[owner],
+            _stirred(stirred[owner], step),
+        )
+        cuts = np.searchsorted(owner[at], np.arange(len(paths) + 1)).tolist()
+        minus = -drawn
+        unsettled = []
+        for i, path in enumerate(paths):
+            search = path.search
+            own_draws = minus[cuts[i] : cuts[i + 1]]
+            best = np.arange(len(own_draws))
+            if len(best) > search.keep:
+                best = np.argpartition(own_draws, search.keep - 1)[: search.keep]
+            best = cuts[i] + best[np.argsort(own_draws[best], kind="stable")]
+            values = drawn[best].tolist()
+            if not path.settled(values):
+                unsettled.append(i)
+                continue
+            own = len(search.paths) - 1
+            found = zip(values, [own] * len(best), step[at[best]].tolist(), edge[best].tolist())
+            search.open = sorted([*search.open, *found], key=lambda x: (-x[0], x[1:]))[: search.keep]
+        paths, stirred = [paths[i] for i in unsettled], stirred[unsettled]
 
 
 def _leaving(
-    batch: Batch, edges: np.ndarray, gone: np.ndarray, value: float, stirred: np.ndarray, kept: int
+    batch: Batch, edges: np.ndarray, gone: np.ndarray, value: np.ndarray, stirred: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(perturbed value, step, edge) of the prefixes that leave a path at its steps from ``kept`` on."""
+    """(perturbed value, place among the steps, edge) of the prefixes that leave paths at steps
+    of theirs, given by edge, log-probability before it, path's value and seed."""
     source = batch.source[edges]
     count = batch.edges[source]
-    step = np.repeat(np.arange(len(edges)), count)
-    edge = np.repeat(batch.first_edge[source] - np.cumsum(count) + count, count) + np.arange(count.sum())
-    other = edge != edges[step]
-    step, edge = step[other], edge[other]
-    mass = gone[step] + batch.share[edge]
-    u = _uniform(_stirred(stirred, np.arange(kept, kept + len(edges)))[step], batch.rank[edge])
-    drawn = mass - np.log(np.exp(np.minimum(mass - value, 700.0)) - np.log(u))
-    return drawn, step + kept, edge
+    at = np.repeat(np.arange(len(edges)), count)
+    edge = _ranges(batch.first_edge[source], count)
+    other = np.flatnonzero(edge != edges[at])
+    at, edge = at[other], edge[other]
+    mass = gone[at] + batch.share[edge]
+    u = _uniform(stirred[at], batch.rank[edge])
+    return mass - np.log(np.exp(np.minimum(mass - value[at], 700.0)) - np.log(u)), at, edge
 
 
 def _samples(batch: Batch, search: Search) -> list[tuple[bytes, float, float, float]]:

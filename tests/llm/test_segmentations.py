@@ -1,6 +1,7 @@
 """Sampled segmentations: exact round trips, all paths of short texts, sampling without replacement."""
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -121,3 +122,39 @@ def test_query(spark, model):
         if len(pair) == 2 and not any(model.processor.is_byte(int(p)) for r in pair for p in np.frombuffer(r["ids"], "<u4")):
             weight = [sum(model.weights[p] for p in ids_of(r["ids"])) for r in pair]
             assert weight[0] - weight[1] == pytest.approx(pair[0]["log_prob"] - pair[1]["log_prob"], abs=1e-6)
+
+
+def test_lattices_of_words_are_kept_for_later_texts(model, monkeypatch):
+    expected = sample(model, ["three one", ""], [3, 4], 3)
+    calls = []
+    learn = segmentations.Lexicon._learn
+    monkeypatch.setattr(segmentations.Lexicon, "_learn", lambda self, model, words: (calls.append(list(words)), learn(self, model, words)))
+    fresh = Pieces(PATH, 1.0)
+    first = sample(fresh, ["one two two", "日本 three"], [1, 2], 3)
+    assert calls == [["▁one", "▁two", "▁日本", "▁three"]]
+    assert sample(fresh, ["three one", ""], [3, 4], 3) == expected
+    assert sample(fresh, ["one two two", "日本 three"], [1, 2], 3) == first
+    assert len(calls) == 1
+
+
+def test_a_full_table_forgets_and_samples_stay(model, monkeypatch):
+    texts = [f"the cat {'ab' * i} é日 word{i} x" for i in range(60)]
+    expected = sample(model, texts, list(range(60)), 3)
+    for most in (10, 400, 1500):
+        monkeypatch.setattr(segmentations, "REMEMBERED_EDGES", most)
+        fresh = Pieces(PATH, 1.0)
+        sizes = []
+        for turn in range(3):
+            found = [sample(fresh, [text], [key], 3)[0] for key, text in enumerate(texts)]
+            sizes.append(len(fresh.lexicon.source))
+            assert found == expected
+        assert max(sizes) <= most
+
+
+def test_words_are_split_as_by_the_pattern():
+    texts = ["", "▁a▁▁b", "▁", "a", "▁▁", "▁x▁", "日▁本▁▁", "", "▁é"]
+    words, counts = segmentations.split_words(texts)
+    expected = [re.findall("▁*[^▁]+|▁+", text) for text in texts]
+    assert words.to_pylist() == [w for ws in expected for w in ws]
+    assert counts.tolist() == [len(ws) for ws in expected]
+    assert segmentations.split_words(["", ""])[1].tolist() == [0, 0]
