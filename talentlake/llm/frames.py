@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
@@ -76,10 +77,20 @@ def map_slices(
                 [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in columns.values()],
                 names=list(columns),
             )
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Hands the memory that this worker freed back to the system. Else it is kept for the worker's
+    next task, and a stage stands beside what all stages before it once needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 _remembered: dict[tuple, Any] = {}  # of this worker
 
 
@@ -89,6 +100,7 @@ def remembered(make: Callable[..., Any], *args: Any) -> Any:
     key = (make, *args)
     if key not in _remembered:
         _remembered.clear()
+        give_back()
         _remembered[key] = make(*args)
     return _remembered[key]
 

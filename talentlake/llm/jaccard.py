@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talentlake.llm.components import components, local_roots
-from talentlake.llm.frames import first_of, map_slices, same, text_hash, texts_of, typed
+from talentlake.llm.frames import first_of, give_back, map_slices, same, text_hash, texts_of, typed
 from talentlake.llm.shingles import WORDS, mixed, shingles
 from talentlake.workspace import stored
 
@@ -247,6 +247,8 @@ def jaccard_join(
             out["node"] += node[linked].tolist()
             out["links"] += links[linked].astype(np.int64).tolist()
             out["root"] += node[root[linked]].tolist()
+        del columns, texts, tasks
+        give_back()
         return pa.table({name: pa.array(values, type=pa.int64()) for name, values in out.items()})
 
     compared = stored(dealt.groupBy("bucket").applyInArrow(compare, "node bigint, links bigint, root bigint"), "compared")

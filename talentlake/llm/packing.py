@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talentlake.llm.frames import remembered, slices, texts_of, typed
+from talentlake.llm.frames import give_back, remembered, slices, texts_of, typed
 from talentlake.workspace import stored
 
 LENGTH = 2048
@@ -139,6 +139,7 @@ def tokenised(docs: DataFrame, path: str, separator: int, doc_id: str, text: str
                 ],
                 names=["doc_id", "part", "before", "doc_tokens", "ids"],
             )
+        give_back()
 
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = f"doc_id {typed(read, 'doc_id')}, part bigint, before bigint, doc_tokens bigint, ids binary"

@@ -4,6 +4,7 @@ import gc
 import weakref
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,3 +168,27 @@ def test_a_worker_keeps_what_one_operator_remembers():
     shingles("some words of a text that is long enough")
     gc.collect()
     assert gone() is None and len(frames._remembered) == 1
+
+
+class Direct:
+    """Stands for a frame whose tasks the test runs itself."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_a_task_gives_back_what_it_freed(monkeypatch):
+    """Memory that tasks freed stayed with the workers, beside what later stages need."""
+    parts = [np.ones(250) for _ in range(40_000)]
+    last = parts.pop()  # the heap does not end where the freed part begins
+    del parts
+    freed = _private_mb()
+    batch = pa.RecordBatch.from_pydict({"text": ["a text"]})
+    run = frames.map_slices(Direct(), lambda batch: {"n": [len(batch)]}, "n bigint")
+    assert [b.to_pydict() for b in run(iter([batch]))] == [{"n": [1]}]
+    assert _private_mb() < freed - 40 and len(last) == 250
+
+
+def _private_mb():
+    with open("/proc/self/smaps_rollup") as lines:
+        return sum(int(line.split()[1]) for line in lines if line.startswith("Private_Dirty")) / 1024
